@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,22 +17,50 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepieces import encode_pieces
+
+    return encode_pieces(table(spark, sf_dir, "documents"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rans import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_toxicity": op3_toxicity,
+    "op4_urls": op4_urls,
     "op5_mixing": op5_mixing,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_licenses": op9_licenses,
+    "op10_rans": op10_rans,
 }
 
 ORACLES: dict[str, str] = {

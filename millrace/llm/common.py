@@ -123,8 +123,8 @@ class Words:
     ``first`` has, for each text and one past the last, the index of its first word.
     """
 
-    def __init__(self, texts: list[bytes], is_separator: np.ndarray = IS_SPACE):
-        self.buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+    def __init__(self, texts: list[bytes], is_separator: np.ndarray = IS_SPACE, glue: bytes = b"\n"):
+        self.buf = np.frombuffer(glue.join(texts) + glue, dtype=np.uint8)
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         self.text_start = np.concatenate(([0], np.cumsum(lengths + 1)))
         self.lengths = lengths
@@ -162,3 +162,100 @@ class Words:
         """Sums of a per-byte array over each text."""
         sums = np.concatenate(([0], np.cumsum(marks, dtype=np.int64)))
         return sums[self.text_start[1:] - 1] - sums[self.text_start[:-1]]
+
+
+class Table:
+    """Open-addressing look-up of 64-bit keys, vectorised: gives each key's value (0 or more), or -1."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray | None = None, room: int = 0):
+        self.bits = max(4, int(max(len(keys), room) * 2.5).bit_length())
+        self.shift = np.uint64(64 - self.bits)
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.values = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.insert(keys, np.arange(len(keys)) if values is None else values)
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def insert(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Different keys, none of which is there yet."""
+        slot, last = self.slot(keys), len(self.values) - 1
+        while len(keys):
+            free = np.flatnonzero(self.values[slot] < 0)
+            taken, index = np.unique(slot[free], return_index=True)
+            put = free[index]
+            self.keys[taken] = keys[put]
+            self.values[taken] = values[put]
+            left = np.ones(len(keys), dtype=bool)
+            left[put] = False
+            keys, values, slot = keys[left], values[left], (slot[left] + 1) & last
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slot, last = self.slot(keys), len(self.values) - 1
+        out = self.values[slot].astype(np.int64)
+        left = np.flatnonzero((out >= 0) & (self.keys[slot] != keys))
+        out[left] = -1
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & last
+            value = self.values[slot]
+            hit = (value >= 0) & (self.keys[slot] == keys[left])
+            out[left[hit]] = value[hit]
+            going = ~hit & (value >= 0)
+            left, slot = left[going], slot[going]
+        return out
+
+
+class WordMemory:
+    """What is made of each different word, remembered by a worker and laid out for whole runs of texts at once.
+
+    ``make`` gets new words and gives an array for each store and word. Words are known by a 64-bit hash. The memory
+    starts anew when it is full: that changes speed, never results.
+    """
+
+    def __init__(self, make, kinds: tuple, words: int = 1_500_000, items: int = 40_000_000):
+        self.make, self.kinds, self.words, self.items = make, kinds, words, items
+        self.clear()
+
+    def clear(self) -> None:
+        self.table = Table(np.empty(0, np.uint64), room=self.words)
+        self.count = 0
+        self.flat = [np.empty(1 << 16, dtype=k) for k in self.kinds]
+        self.ends = [np.zeros(1 << 16, dtype=np.int64) for _ in self.kinds]
+
+    def places(self, words: Words, hashes: np.ndarray) -> np.ndarray:
+        """The place of each word of a run; valid until the next call."""
+        if self.count > 0.8 * self.words or any(self.ends[k][self.count] > self.items for k in range(len(self.kinds))):
+            self.clear()
+        found = self.table.find(hashes)
+        new = np.flatnonzero(found < 0)
+        if not len(new):
+            return found
+        keys, first = np.unique(hashes[new], return_index=True)
+        raw = words.buf.tobytes()
+        at = new[first]
+        made = self.make([raw[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)])
+        top = self.count + len(keys)
+        for k in range(len(self.kinds)):
+            parts = [m[k] for m in made]
+            if top + 1 > len(self.ends[k]):
+                self.ends[k] = np.concatenate((self.ends[k], np.zeros(max(top, len(self.ends[k])), np.int64)))
+            ends = self.ends[k][self.count] + np.cumsum([len(x) for x in parts])
+            self.ends[k][self.count + 1 : top + 1] = ends
+            if ends[-1] > len(self.flat[k]):
+                self.flat[k] = np.concatenate((self.flat[k], np.empty(max(int(ends[-1]), len(self.flat[k])), self.kinds[k])))
+            self.flat[k][self.ends[k][self.count] : ends[-1]] = np.concatenate(parts)
+        if top <= self.words:
+            self.table.insert(keys, np.arange(self.count, top))
+        else:  # a single run with more new words than fit: they are known to this run alone
+            self.table = Table(np.empty(0, np.uint64), room=self.words)
+        self.count = top
+        found[new] = np.searchsorted(keys, hashes[new]) + (top - len(keys))
+        return found
+
+    def lay_out(self, k: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Store k's items of all words one after another, and how many each word has."""
+        starts = self.ends[k][places]
+        counts = self.ends[k][places + 1] - starts
+        before = np.cumsum(counts) - counts
+        return self.flat[k][np.repeat(starts - before, counts) + np.arange(int(counts.sum()))], counts

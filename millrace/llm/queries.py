@@ -35,6 +35,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import compare_neighbours
+
+    return compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentencepieces import encode_pieces
 
@@ -58,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_urls": op4_urls,
     "op5_mixing": op5_mixing,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_ppm": op7_ppm,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_licenses": op9_licenses,
     "op10_rans": op10_rans,

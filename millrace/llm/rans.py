@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -22,10 +23,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, scratch, texts_of
+from .common import WordMemory, Words, bounded_batches, scratch, slices, texts_of
 
 MAGIC = b"MRANS\x00\x00\x01"
 #: Frequencies of a table add up to 2 ** PRECISION.
@@ -62,7 +64,13 @@ def encode_ids(ids: np.ndarray) -> dict[str, np.ndarray]:
     """Sections of the coded ids (uint32); an empty array has none but empty ones."""
     if not len(ids):
         return {name: np.empty(0, dtype=kind) for name, kind in SECTIONS[:6]}
-    alphabet, symbols, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if int(ids.max()) < 1 << 20:
+        counts = np.bincount(ids)
+        alphabet = np.flatnonzero(counts)
+        counts, place = counts[alphabet], np.cumsum(counts > 0) - 1
+        symbols = place[ids]
+    else:
+        alphabet, symbols, counts = np.unique(ids, return_inverse=True, return_counts=True)
     freqs = frequencies(counts)
     blocks = -(-len(ids) // BLOCK)
     padded = np.zeros(blocks * BLOCK, dtype=np.int64)
@@ -146,6 +154,12 @@ def read_index(content: bytes) -> tuple[dict, dict[str, np.ndarray]]:
     return head, parts
 
 
+#: How the tokenizer splits (fixed value), and the same in this library's syntax for text without apostrophes.
+SPLIT = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PIECES = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+OTHER_SPACE = regex.compile(r"\s")
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -155,34 +169,69 @@ def default_tokenizer() -> str:
 class WordTokens:
     """Ids of whole texts, by runs between ASCII white space: the tokenizer splits there, so each run has its own ids.
 
-    What is remembered changes speed, never results.
+    A new run is split further, as the tokenizer would, into letters, digits and signs; many new pieces are encoded in
+    one call and told apart by the ids that end a word. Where that isn't certain to be the same, the run itself is
+    encoded. What is remembered changes speed, never results.
     """
 
-    MOST = 400_000
-    LONGEST = 64
-
     def __init__(self, path: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path or default_tokenizer())
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as bytes of little-endian uint32."""
-        runs = [t.split() for t in texts]
-        if len(self.known) > self.MOST:
-            self.known.clear()
-        known = self.known
-        new = list({w for r in runs for w in r if w not in known})
-        long = {}
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                (known if len(w) <= self.LONGEST else long)[w] = np.array(e.ids, dtype="<u4").tobytes()
-        if long:
-            return [b"".join([known[w] if w in known else long[w] for w in r]) for r in runs]
-        return [b"".join([known[w] for w in r]) for r in runs]
+        tokens = self.library.get_vocab()
+        self.ends = np.zeros(max(tokens.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in tokens.items() if t.endswith("</w>")]] = True
+        self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        spec = json.loads(self.library.to_str())
+        #: The split below is that of this pre-tokenizer and of no other.
+        self.splits = spec["model"].get("end_of_word_suffix") == "</w>" and SPLIT in json.dumps(spec["pre_tokenizer"], ensure_ascii=False)
+        self.memory = WordMemory(self.runs, (np.uint32,))
+
+    def one_by_one(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def split(self, run: bytes) -> list[str] | None:
+        """The tokenizer's pieces of a run; None if only it can tell."""
+        if not self.splits or b"'" in run or any(t in run for t in self.specials):
+            return None
+        text = run.decode()
+        if run.isascii():
+            return PIECES.findall(text.lower())
+        low = text.lower()
+        if len(low) != len(text) or "\u03a3" in text or not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)) or OTHER_SPACE.search(text):
+            return None
+        return PIECES.findall(low)
+
+    def pieces(self, new: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        for at in range(0, len(new), 2_000):
+            part = new[at : at + 2_000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                raw, last = ids.tobytes(), 0
+                for p, cut in zip(part, (4 * cuts).tolist(), strict=True):
+                    found[p] = raw[last:cut]
+                    last = cut
+            else:
+                found.update(zip(part, self.one_by_one(part), strict=True))
+        return found
+
+    def runs(self, new: list[bytes]) -> list[tuple[np.ndarray]]:
+        """Ids of each new run."""
+        parts = [self.split(w) for w in new]
+        pieces = self.pieces(list({p for ps in parts if ps for p in ps}))
+        hard = iter(self.one_by_one([w.decode() for w, ps in zip(new, parts, strict=True) if ps is None]))
+        return [(np.frombuffer(next(hard) if ps is None else b"".join([pieces[p] for p in ps]), "<u4"),) for ps in parts]
+
+    def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of texts: the ids of them all, and how many each text has."""
+        for i, j in slices(texts):
+            words = Words(texts[i:j])
+            ids, counts = self.memory.lay_out(0, self.memory.places(words, words.hashes()))
+            sums = np.concatenate(([0], np.cumsum(counts)))
+            yield ids, np.diff(sums[words.first])
 
 
 @lru_cache(maxsize=2)
@@ -220,9 +269,11 @@ def encode_documents(docs: DataFrame, path: str, tokenizer: str | None = None, e
             own = np.array([np.nan if d is None else d for d in batch.column("doc_id").to_pylist()], dtype=np.float64)
             place = np.where(np.isnan(own), 0, np.searchsorted(edges, own, side="right")).astype(np.int32)
             texts = texts_of(batch.column("__text"))
-            ids = tokens.encode(texts)
-            if small:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+            ids = []
+            for run, counts in tokens.encode(texts):
+                raw, wide = (run.astype("<u2") if small else run).tobytes(), 2 if small else 4
+                ends = np.cumsum(counts) * wide
+                ids += [raw[a:b] for a, b in zip((ends - counts * wide).tolist(), ends.tolist(), strict=True)]
             tie = [zlib.crc32(t) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(place), batch.column("doc_id"), pa.array(tie, pa.int64()), pa.array(ids, pa.binary()), pa.array([small] * len(ids))], ["part", "doc_id", "tie", "ids", "small"])
 

@@ -1,9 +1,9 @@
 """Language-model scores by prediction by partial matching, beside a unigram base.
 
 The model is a trie of byte contexts with the counts of the bytes that follow. A byte is coded in the longest context
-known; where it never followed, an escape (estimated from the number of different bytes that did, method C) leads to
-the next shorter context, whose counts leave out the bytes just excluded; the last resort is an even share of what no
-context has excluded. All that a context has excluded its shorter contexts know as well, so one table of each context's
+known; where it never followed, or too rarely to be kept, an escape (estimated from the number of different bytes that
+did follow, method C, and the counts not kept) leads to the next shorter context, whose counts leave out the bytes just
+excluded; the last resort is an even share of what no context has excluded. All that a context has excluded its shorter contexts know as well, so one table of each context's
 own sums and of its shorter context's remaining sums suffices, and whole batches of texts are coded by table look-ups.
 
 Counts are taken over all training texts. Contexts are kept by relative frequency (``least`` of all training bytes), a
@@ -31,9 +31,9 @@ END, BEGIN = 0xFF, 0xFE
 @dataclass(frozen=True)
 class PpmParams:
     #: Bytes of the longest context.
-    order: int = 4
+    order: int = 5
     #: Share of all training bytes that an entry must have.
-    least: float = 2.0**-20
+    least: float = 2.0**-21
     #: Share of all training words from which a word's count is sent to every task; others are joined.
     common_word: float = 2.0**-18
     #: Entries that a counting task holds before it hands them on.
@@ -113,68 +113,91 @@ def count_corpus(train: DataFrame, text: str, params: PpmParams) -> DataFrame:
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def context_table(counted: DataFrame, total: int, params: PpmParams) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(groups, counts) for each length 1..order + 1, sorted, of the groups that are frequent enough."""
+@dataclass(frozen=True)
+class Level:
+    """What the model knows of one length: frequent groups (sorted) with counts, and the contexts of these (sorted, without
+    the last byte) with the counts and kinds of all bytes that followed, frequent or not."""
+
+    groups: np.ndarray
+    counts: np.ndarray
+    contexts: np.ndarray
+    totals: np.ndarray
+    kinds: np.ndarray
+
+
+def level_of(groups: np.ndarray, counts: np.ndarray, least: int) -> Level:
+    """From all groups of one length, sorted."""
+    context = groups >> np.uint64(8)
+    first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(groups) else np.empty(0, np.int64)
+    totals = np.add.reduceat(counts, first) if len(first) else np.empty(0, np.int64)
+    top = np.maximum.reduceat(counts, first) if len(first) else np.empty(0, np.int64)
+    kinds = np.diff(np.concatenate((first, [len(groups)])))
+    keep = top >= least
+    return Level(groups[counts >= least], counts[counts >= least], context[first][keep], totals[keep], kinds[keep])
+
+
+def context_table(counted: DataFrame, total: int, params: PpmParams) -> list[Level]:
+    """Levels of 1..order + 1 bytes."""
     least = max(1, math.ceil(total * params.least))
     whole = counted.where("kind = 0").select("key", "n")
     lengths = F.explode(F.sequence(F.lit(1), F.lit(params.order + 1))).alias("length")
-    cut = F.expr(f"CASE WHEN length = {params.order + 1} THEN key ELSE key & (shiftleft(1L, 8 * length) - 1L) END")
+    cut = F.expr("CASE WHEN length = 8 THEN key ELSE key & (shiftleft(1L, 8 * length) - 1L) END")
     by_length = whole.select("key", "n", lengths).select("length", cut.alias("key"), "n").groupBy("length", "key").agg(F.sum("n").alias("n"))
-    # each length has at most 1 / params.least groups of this share: a proven bound of what comes to the driver
+    by_length = materialize(by_length, "ppm-groups")
+    contexts = by_length.groupBy("length", F.shiftrightunsigned("key", 8).alias("key")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.max("n").alias("top"))
+    # at most 1 / params.least groups of a length have this share, and no more contexts have one of them: a proven bound of what comes to the driver
     kept = by_length.where(F.col("n") >= least).toArrow()
-    length, key, n = (kept.column(c).to_numpy() for c in ("length", "key", "n"))
-    out = []
-    for k in range(1, params.order + 2):
-        own = length == k
-        keys = key[own].astype(np.int64).view(np.uint64)
+    held = contexts.where(F.col("top") >= least).drop("top").toArrow()
+
+    def of(table: pa.Table, k: int, *names: str) -> list[np.ndarray]:
+        own = table.column("length").to_numpy() == k
+        keys = table.column("key").to_numpy()[own].astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
-        out.append((keys[order], n[own][order]))
-    return out
+        return [keys[order], *(table.column(c).to_numpy()[own][order] for c in names)]
+
+    return [Level(*of(kept, k, "n"), *of(held, k, "n", "kinds")) for k in range(1, params.order + 2)]
 
 
 class PpmModel:
-    """``levels``: (groups, counts) for lengths 1, 2, ...; the group of the last byte alone first.
+    """``levels``: of groups of 1, 2, ... bytes.
 
-    A context is known if some group continues it. For context c and a byte s that follows it:
-    own[c] = log10(counts + different bytes), escape[c] = log10(different) - own[c]; after an escape from c the shorter
-    context counts only the bytes not seen in c: rest[c] and rest_escape[c] are the same two numbers of those.
+    For a context c: own[c] = log10(all that followed + kinds of it), escape[c] = log10(what followed rarely + kinds) -
+    own[c]. After an escape from c the shorter context leaves out the bytes that c offered: rest[c] and rest_escape[c]
+    are the same two numbers of what is left there.
     """
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, levels: list[Level]):
         self.order = len(levels) - 1
-        totals = kinds_above = np.empty(0)
-        self.groups = [Table(k) for k, _ in levels]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.logs = [np.log10(n.astype(np.float64)) for _, n in levels]
-        self.contexts: list[Table] = []
-        self.own, self.escape, self.rest, self.rest_escape, self.left = [], [], [], [], []
-        for k, (groups, counts) in enumerate(levels):
-            context = groups >> np.uint64(8)
-            first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(groups) else np.empty(0, np.int64)
-            names = context[first]
-            kinds = np.diff(np.concatenate((first, [len(groups)]))).astype(np.float64)
-            sums = np.add.reduceat(counts, first).astype(np.float64) if len(first) else np.empty(0)
-            self.contexts.append(Table(names))
-            own = np.log10(sums + kinds)
-            self.own.append(own)
-            self.escape.append(np.log10(kinds) - own)
-            self.left.append(np.log10(np.maximum(256.0 - kinds, 1.0)))  # bytes of order 0 known: the even share is over the others
+        self.groups = [Table(v.groups) for v in levels]
+        self.logs = [np.log10(v.counts.astype(np.float64)) for v in levels]
+        self.contexts = [Table(v.contexts) for v in levels]
+        self.own, self.escape, self.rest, self.rest_escape = [], [], [], []
+        tiny = 1e-300
+        for k, v in enumerate(levels):
+            context = v.groups >> np.uint64(8)
+            first = np.searchsorted(context, v.contexts)
+            offered = np.diff(np.concatenate((first, [len(v.groups)])))
+            sums = np.add.reduceat(v.counts, first) if len(first) else np.empty(0, np.int64)
+            self.own.append(np.log10((v.totals + v.kinds).astype(np.float64)))
+            rare = v.totals - sums
+            self.escape.append(np.log10((rare + v.kinds).astype(np.float64)) - self.own[-1])
             if k:
-                shorter_groups, shorter_counts = levels[k - 1]
-                mask = np.uint64((1 << (8 * k)) - 1)
-                at = np.searchsorted(shorter_groups, groups & mask)
-                seen = np.add.reduceat(shorter_counts[at], first).astype(np.float64) if len(first) else np.empty(0)
-                parent = self.contexts[k - 1].find(names & np.uint64((1 << (8 * (k - 1))) - 1))
-                counts_left = totals[parent] - seen
-                kinds_left = kinds_above[parent] - kinds
-                rest = counts_left + kinds_left
-                self.rest.append(np.log10(np.maximum(rest, 1e-300)))
-                # nothing left: the escape is certain
-                self.rest_escape.append(np.where(kinds_left > 0, np.log10(np.maximum(kinds_left, 1e-300)) - np.log10(np.maximum(rest, 1e-300)), 0.0))
+                above, mask = levels[k - 1], np.uint64((1 << (8 * k)) - 1)
+                # a group as frequent as this is as frequent without its first byte
+                at = np.searchsorted(above.groups, v.groups & mask)
+                seen = np.add.reduceat(above.counts[at], first) if len(first) else np.empty(0, np.int64)
+                parent = self.contexts[k - 1].find(v.contexts & np.uint64((1 << (8 * (k - 1))) - 1))
+                kinds = above.kinds[parent] - offered
+                rest = (above.totals[parent] - seen + kinds).astype(np.float64)
+                out = (rare_above[parent] + kinds).astype(np.float64)
+                self.rest.append(np.log10(np.maximum(rest, tiny)))
+                # with nothing left the escape is certain
+                self.rest_escape.append(np.where(out > 0, np.log10(np.maximum(out, tiny)) - np.log10(np.maximum(rest, tiny)), 0.0))
             else:
-                self.rest.append(np.zeros(len(names)))
-                self.rest_escape.append(np.zeros(len(names)))
-            totals, kinds_above = sums, kinds
+                self.rest.append(np.zeros(len(v.contexts)))
+                self.rest_escape.append(np.zeros(len(v.contexts)))
+                self.even = math.log10(256 - len(v.groups))
+            rare_above = rare
 
     def log10_probabilities(self, key: np.ndarray) -> np.ndarray:
         """Of the lowest byte of each key, given the others above it."""
@@ -198,8 +221,7 @@ class PpmModel:
             below = np.where(context >= 0, context, -1)
             if not len(todo):
                 return out
-        even = self.left[0][0] if len(self.left[0]) else math.log10(256.0)
-        out[todo] = spent - even
+        out[todo] = spent - self.even
         return out
 
     @staticmethod

@@ -16,7 +16,7 @@ def levels_of(texts, order, least=1):
     out = []
     for k in range(1, order + 2):
         keys, counts = np.unique(key & np.uint64((1 << (8 * k)) - 1), return_counts=True)
-        out.append((keys[counts >= least], counts[counts >= least].astype(np.int64)))
+        out.append(ppm.level_of(keys, counts.astype(np.int64), least))
     return out
 
 
@@ -28,8 +28,7 @@ def brute_score(train, text, order, least=1):
         for i in range(order, len(padded)):
             for k in range(order + 1):
                 trie.setdefault(padded[i - k : i], Counter())[padded[i]] += 1
-    trie = {c: {s: n for s, n in held.items() if n >= least} for c, held in trie.items()}
-    trie = {c: held for c, held in trie.items() if held}
+    offers = {c: {s for s, n in held.items() if n >= least} for c, held in trie.items()}
     padded = bytes([ppm.BEGIN]) * order + text + bytes([ppm.END])
     total = 0.0
     for i in range(order, len(padded)):
@@ -39,17 +38,17 @@ def brute_score(train, text, order, least=1):
             if k == -1:
                 p /= 256 - len(excluded)
                 break
-            held = trie.get(padded[i - k : i])
-            if held is None:
+            context = padded[i - k : i]
+            if not offers.get(context):
                 continue
-            left = {s: n for s, n in held.items() if s not in excluded}
+            left = {s: n for s, n in trie[context].items() if s not in excluded}
             whole = sum(left.values()) + len(left)
-            if padded[i] in left:
+            if padded[i] in left and padded[i] in offers[context]:
                 p *= left[padded[i]] / whole
                 break
             if left:
-                p *= len(left) / whole
-            excluded |= held.keys()
+                p *= (len(left) + sum(n for s, n in left.items() if s not in offers[context])) / whole
+            excluded |= offers[context]
         total += math.log10(p)
     return total
 

@@ -77,6 +77,14 @@ def verify(found: list[bytes], template: list[bytes]) -> tuple[int, int, int]:
     return sum(b.size for b in blocks), blocks[0].a, blocks[-1].a + blocks[-1].size - 1
 
 
+#: Words that tell one license from another: a span must have those of its template and no other.
+TELLING = frozenset(b"mit apache gpl lesser affero general mozilla creative attribution sharealike cc nc sa".split())
+
+
+def same_license(found: list[bytes], template: list[bytes]) -> bool:
+    return TELLING.intersection(found) == TELLING.intersection(template)
+
+
 def votes(row: DataFrame, table: DataFrame) -> DataFrame:
     """(row_id, template, low, high): runs of neighbouring diagonals that got votes, from (row_id, pos, hash).
 
@@ -181,6 +189,8 @@ def scan_licenses(
                     start = max(0, r["low"] - DRIFT)
                     n, a, b = verify(own[start : r["high"] + K + DRIFT], template)
                     coverage = n / len(template)
+                    if not same_license(own[start + a : start + b + 1], template):
+                        continue
                     if b - a + 1 <= 1.5 * n + DRIFT and (coverage >= MIN_COVERAGE or n >= ENOUGH_WORDS):
                         good.append({"label": names[r["template"]], "first": start + a, "last": start + b, "coverage": coverage})
                 labels.append(sorted({g["label"] for g in good}))

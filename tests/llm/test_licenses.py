@@ -46,7 +46,7 @@ def test_labels_of_the_method(spark):
     assert got[0]["labels"] == "mit" and got[2]["labels"] == "gpl" and got[3]["labels"] == "cc-by-nc"
     assert got[5]["labels"] == "" and got[8]["labels"] == "" and got[5]["score"] < 1
     assert got[6]["labels"] == "mit" and got[6]["n_base"] == 0
-    assert got[7]["labels"] == "bsd" and got[7]["spans"][0]["first"] == 0 and got[7]["spans"][0]["last"] == 21
+    assert got[7]["labels"] == "bsd" and got[7]["spans"][0]["first"] == 0 and got[7]["spans"][0]["last"] == 20
 
 
 def test_diagonals_merge_across_a_gap(spark):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 
 def seeded(column: str | Column, seed: int | str = 42) -> Column:
     """An order that looks random, the same in any SQL engine."""
@@ -47,26 +49,22 @@ def allocation(df: DataFrame, n: int, key: str, categories: str = "category") ->
 def stratified(df: DataFrame, n: int, key: str, categories: str = "category", seed: int | str = 42) -> DataFrame:
     """n rows in which every category has its share, the rarest served first; a row counts for all its categories.
 
-    Rows still missing are filled up in seeded order, and too many are trimmed in it. One pass for each category; what
-    comes to the driver is the share of each category, and the rows chosen so far are counted where they are.
+    Rows still missing are filled up in seeded order, and too many are trimmed in it. Two passes for each category,
+    over keys and categories only; what comes to the driver is the share of each category, and the rows chosen so far
+    are a small table of their own.
     """
     wanted = allocation(df, n, key, categories).orderBy("wanted", "category").collect()  # one row for each category
-    base = df.select(F.col(key), F.array_distinct(F.coalesce(categories, F.array().cast("array<string>"))).alias("__c"), seeded(key, seed).alias("__o")).persist()
-    chosen: DataFrame | None = None
+    base = materialize(df.select(F.col(key), F.array_distinct(F.coalesce(categories, F.array().cast("array<string>"))).alias("__c"), seeded(key, seed).alias("__o")), "sample")
+    chosen = base.limit(0)
     for r in wanted:
-        have = chosen.where(F.array_contains("__c", r["category"])).count() if chosen is not None else 0
-        if r["wanted"] > have:
-            free = base.where(F.array_contains("__c", r["category"]))
-            free = free.join(chosen.select(key), key, "left_anti") if chosen is not None else free
-            more = free.orderBy("__o", key).limit(r["wanted"] - have).persist()
-            chosen = more if chosen is None else chosen.union(more).persist()
-    have = chosen.count() if chosen is not None else 0
+        needed = r["wanted"] - chosen.where(F.array_contains("__c", r["category"])).count()
+        if needed > 0:
+            free = base.where(F.array_contains("__c", r["category"])).join(chosen.select(key), key, "left_anti")
+            chosen = materialize(chosen.union(free.orderBy("__o", key).limit(needed).select(*chosen.columns)), "sample")
+    have = chosen.count()
     if have < n:
-        rest = base.join(chosen.select(key), key, "left_anti") if chosen is not None else base
-        more = rest.orderBy("__o", key).limit(n - have)
-        chosen = more if chosen is None else chosen.union(more)
-    keys = chosen.orderBy("__o", key).limit(n).select(key)
-    return df.join(keys, key, "left_semi")
+        chosen = chosen.union(base.join(chosen.select(key), key, "left_anti").orderBy("__o", key).limit(n - have).select(*chosen.columns))
+    return df.join(chosen.orderBy("__o", key).limit(n).select(key), key, "left_semi")
 
 
 def coin(*parts: Column, seed: int | str = 42) -> Column:

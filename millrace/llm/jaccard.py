@@ -31,11 +31,13 @@ class JoinParams:
     threshold: float = 0.8
     #: Chance that a pair at the threshold is found by some run.
     recall: float = 0.999_999
-    #: MinHash tokens of a set, and how many children two sets at the threshold share at each node on average.
+    #: MinHash tokens of a set, how many of their places a run picks at its start, and how many each node below; sets
+    #: that share a third of their members then don't multiply from node to node.
     tokens: int = 128
-    shared: float = 3.0
+    picks: int = 5
+    picks_below: int = 3
     #: Buckets up to this size are compared as they are; larger ones split, at most so many times.
-    small: int = 64
+    small: int = 1_024
     depth: int = 4
     #: Least share of equal tokens (by one byte of each) of a candidate pair: a pair at the threshold of 0.8 has less
     #: once in 10 million times.
@@ -52,8 +54,9 @@ class JoinParams:
     def runs(self) -> int:
         """Runs until the chance that all of them lose a pair, on paths of any length, is below 1 - recall."""
         lost = 0.0
-        for _ in range(100):
-            lost = (1 - self.shared / self.tokens * (1 - lost)) ** self.tokens
+        for _ in range(100):  # a pair gets lost below a node if in each picked place it parts, or gets lost below that child
+            lost = (1 - self.threshold * (1 - lost)) ** self.picks_below
+        lost = (1 - self.threshold * (1 - lost)) ** self.picks
         return math.ceil(math.log(1 - self.recall) / math.log(lost))
 
 
@@ -89,15 +92,18 @@ def minhash(owner: np.ndarray, value: np.ndarray, n: int, tokens: int) -> np.nda
     return out
 
 
-def children(node: np.ndarray, tokens: np.ndarray, params: JoinParams) -> tuple[np.ndarray, np.ndarray]:
-    """(row, child node) for sets in nodes: those places that a node picks, with the set's token there."""
-    rows, out = [], []
-    limit = np.uint64(min(1.0, params.shared / params.threshold / params.tokens) * (2**64 - 1))
-    for t in range(params.tokens):
-        draw = mix(node + np.uint64((t + 1) * 0xA24BAED4963EE407 % 2**64))
-        picked = np.flatnonzero(draw < limit)
-        rows.append(picked)
-        out.append(mix(draw[picked] ^ (tokens[picked, t].astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))))
+def children(node: np.ndarray, tokens: np.ndarray, picks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child node) for sets in nodes: one child for each different place that a node picks, by the set's token there."""
+    n, rows, out = len(node), [], []
+    taken = np.zeros(tokens.shape, dtype=bool)
+    every = np.arange(n)
+    for t in range(picks):
+        place = (mix(node + np.uint64((t + 1) * 0xA24BAED4963EE407 % 2**64)) % np.uint64(tokens.shape[1])).astype(np.int64)
+        while (again := taken[every, place]).any():
+            place = np.where(again, (place + 1) % tokens.shape[1], place)
+        taken[every, place] = True
+        rows.append(every)
+        out.append(mix(mix(node ^ place.astype(np.uint64)) ^ (tokens[every, place].astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))))
     return np.concatenate(rows), np.concatenate(out)
 
 
@@ -204,7 +210,7 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
                 continue
             tokens, unit = tokens_array(batch.column("tokens"), params.tokens), batch.column("unit").to_numpy()
             for root in roots:
-                row, child = children(np.full(len(unit), root), tokens, params)
+                row, child = children(np.full(len(unit), root), tokens, params.picks)
                 yield pa.RecordBatch.from_arrays([pa.array(unit[row]), pa.array(child.view(np.int64))], ["unit", "node"])
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +219,7 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
                 continue
             tokens, unit = tokens_array(batch.column("tokens"), params.tokens), batch.column("unit").to_numpy()
             node = batch.column("node").to_numpy().view(np.uint64)
-            row, child = children(node, tokens, params)
+            row, child = children(node, tokens, params.picks_below)
             yield pa.RecordBatch.from_arrays([pa.array(unit[row]), pa.array(child.view(np.int64))], ["unit", "node"])
 
     def compare(last: bool):

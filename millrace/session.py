@@ -2,8 +2,33 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, unless their Python finds it by itself."""
+    package = Path(__file__).resolve().parent
+    root = str(package.parent)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root or spark.sparkContext.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(spark.sparkContext.applicationId)
+    folder = tempfile.mkdtemp(prefix="millrace-package-")  # served to executors as long as the application lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+
 
 def session(app: str = "millrace", **settings: str) -> SparkSession:
     """UTC, adaptive execution with skew handling, zstd files. ``settings`` use ``__`` for dots and win over the defaults."""

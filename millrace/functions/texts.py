@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -103,6 +104,16 @@ def title_of_slug(slug: Column) -> Column:
     return F.initcap(F.regexp_replace(slug, r"[-_]+", " "))
 
 
+def prompt(template: str, **columns: Column) -> Column:
+    """A template whose {names} are columns; null is ''. A name that isn't given is an error."""
+    parts = []
+    for k, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if k % 2 and piece not in columns:
+            raise ValueError(f"the template names {piece!r}; there are {', '.join(columns)}")
+        parts.append(F.coalesce(columns[piece].cast("string"), F.lit("")) if k % 2 else F.lit(piece))
+    return F.concat(*parts)
+
+
 def placeholder(value: Column, marker: str = "[FAILED]") -> Column:
     """Failures get their marker where results leave the engine, never earlier."""
     return F.coalesce(value, F.lit(marker))

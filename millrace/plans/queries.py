@@ -11,7 +11,7 @@ from ..functions import boxes as B
 from ..functions import numbers as N
 from ..functions import texts as T
 from ..operators import annotations as A
-from ..operators import dedup, diff, inference, judging, media, prep, sampling, stats
+from ..operators import atlas, dedup, diff, inference, judging, media, prep, sampling, stats
 from ..sources import readers, sinks
 from ..streaming import windows
 from .fixtures import images, oracle, read, view
@@ -435,9 +435,32 @@ def representatives(spark, sf_dir):
     return dedup.representatives(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
 
 
+@query(
+    f"""WITH c AS (SELECT a.vec_id, b.vec_id AS neighbour, round({COSINE}, 9) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, neighbour) AS rank FROM c) SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbour, round(cosine, 6) AS cosine FROM r WHERE rank <= 5"""
+)
+def atlas_neighbours(spark, sf_dir):
+    """The five nearest vectors of each."""
+    return atlas.neighbours(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 5).withColumn("cosine", F.round("cosine", 6))
+
+
+@query()
+def atlas_projection(spark, sf_dir):
+    """Vectors on a plane."""
+    return atlas.projection(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 # Prompts and model output
 
 
+@query("SELECT doc_id, concat('Read this ', coalesce(lang, ''), ' text of ', coalesce(source, ''), ': ', coalesce(text, '')) AS prompt FROM documents")
+def prompt_template(spark, sf_dir):
+    """Prompts from a template."""
+    made = T.prompt("Read this {lang} text of {source}: {text}", lang=F.col("lang"), source=F.col("source"), text=F.col("text"))
+    return read(spark, sf_dir, "documents").select("doc_id", made.alias("prompt"))
+
+
+
 @query("SELECT conv_id, concat(string_agg(concat('<|', coalesce(role, ''), '|>', chr(10), coalesce(text, ''), chr(10)), '' ORDER BY turn, text), '<|assistant|>', chr(10)) AS prompt FROM conversations GROUP BY 1")
 def prompt_render(spark, sf_dir):
     """Conversations as prompts."""

@@ -13,7 +13,7 @@ from millrace.functions import boxes as B
 from millrace.functions import numbers as N
 from millrace.functions import texts as T
 from millrace.operators import annotations as A
-from millrace.operators import dedup, diff, inference, judging, media, sampling
+from millrace.operators import atlas, dedup, diff, inference, judging, media, sampling
 
 IMAGES = "image_id long, file_name string, bbox array<array<double>>, category array<string>, width double, height double"
 
@@ -378,3 +378,36 @@ def test_masks_pages_and_manifest(spark):
     made = json.loads(media.manifest(rows, "https://x.test/i/", "set"))
     assert [c["label"] for c in made["items"]] == ["a.png", "b.png"] and made["items"][0]["width"] == 3
     assert media.decode_data_uri(spark.createDataFrame([(bytearray(b"abc" * 50),)], "c binary").select(media.data_uri(F.col("c"))).first()[0]) == b"abc" * 50
+
+
+def test_projection_keeps_what_differs_most(spark):
+    rng = np.random.default_rng(1)
+    x = np.outer(rng.normal(size=200), [3.0, 0, 0, 0]) + np.outer(rng.normal(size=200), [0, 2.0, 0, 0]) + rng.normal(size=(200, 4)) * 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = np.array([[r["x"], r["y"]] for r in atlas.projection(df, "id", "v").orderBy("id").collect()])
+    assert abs(np.corrcoef(got[:, 0], x[:, 0])[0, 1]) > 0.99 and abs(np.corrcoef(got[:, 1], x[:, 1])[0, 1]) > 0.99
+
+
+def test_neighbours_across_blocks(spark, monkeypatch):
+    v, df = vectors(spark, 150)
+    u = v.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    c = u @ u.T
+    np.fill_diagonal(c, -3)
+    monkeypatch.setattr(dedup.similarities, "__defaults__", (40,))
+    got = {}
+    for r in atlas.neighbours(df, "id", "v", 4).collect():
+        got.setdefault(r["id"], [None] * 4)[r["rank"] - 1] = r["neighbour"]
+    assert got == {i: np.argsort(-c[i], kind="stable")[:4].tolist() for i in range(150)}
+
+
+def test_plan_facts(spark):
+    from millrace.plans.explain import facts, plan
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars > 5").groupBy("lang").count()
+    found = facts(df)
+    assert not found["cartesian"] and not found["python"] and "GreaterThan(n_chars,5)" in found["pushed_filters"][0] and "text" not in found["read_schemas"][0]
+    assert "HashAggregate" in plan(df)
+    assert one(spark, "x", T.prompt("a {t} {t}", t=F.col("t"))) == "a x x"
+    with pytest.raises(ValueError, match="names"):
+        T.prompt("{nope}", t=F.col("t"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,21 +48,27 @@ def overlapping(a: DataFrame, b: DataFrame, threshold: float = 0.5, fmt: str = "
     return pairs.where(F.col("iou") >= threshold).drop("p", "q")
 
 
-def greedy(pairs: pd.DataFrame) -> pd.DataFrame:
-    """One-to-one pairs of an image, the best overlap first; of equals the larger numbers."""
-    used_i, used_j, kept = set(), set(), []
-    for row in pairs.sort_values(["iou", "i", "j"], ascending=False).itertuples():
-        if row.i not in used_i and row.j not in used_j:
-            used_i.add(row.i)
-            used_j.add(row.j)
-            kept.append(row.Index)
-    return pairs.loc[kept]
-
-
 def matches(a: DataFrame, b: DataFrame, threshold: float = 0.5, fmt: str = "coco_xywh") -> DataFrame:
-    """The overlapping pairs that are left after greedy one-to-one matching; a group is one image's pairs."""
+    """The overlapping pairs that are left after one-to-one matching inside an image, the best overlap first, of equals
+    the larger numbers. Pairs come sorted, so a task takes each as it comes and remembers one image's boxes only."""
     pairs = overlapping(a, b, threshold, fmt)
-    return pairs.groupBy("image_id").applyInPandas(greedy, pairs.schema)
+    best_first = pairs.repartition("image_id").sortWithinPartitions("image_id", F.desc("iou"), F.desc("i"), F.desc("j"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        image, used_i, used_j = None, set(), set()
+        for batch in batches:
+            keep = []
+            for k, i, j in zip(*(batch.column(c).to_pylist() for c in ("image_id", "i", "j")), strict=True):
+                if k != image:
+                    image, used_i, used_j = k, set(), set()
+                free = i not in used_i and j not in used_j
+                if free:
+                    used_i.add(i)
+                    used_j.add(j)
+                keep.append(free)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return best_first.mapInArrow(run, pairs.schema)
 
 
 def counts(a: DataFrame, b: DataFrame, threshold: float = 0.5, fmt: str = "coco_xywh") -> DataFrame:

@@ -2,56 +2,51 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-from collections.abc import Iterator
-from functools import lru_cache
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+from ..sources.scratch import materialize, scratch, shared_dir
+
+__all__ = ["Table", "WordMemory", "Words", "bounded_batches", "byte_table", "crc_mod", "lean", "materialize", "mix", "scratch", "shared_dir", "slices", "texts_of"]
+
 #: Bytes of text that one numpy step works on; bounds a worker's memory whatever the documents' lengths.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: ASCII white space: what separates words.
 SPACE = b"\t\n\x0b\x0c\r "
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or one of our own where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        atexit.register(shutil.rmtree, at.removeprefix("file://"), ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage with a table in the shared folder, so a lost executor costs no recomputation."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of bounded bytes and rows, so that very long documents don't pile up in one batch."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Gives memory back to the system when a task ends: workers live on, and the next stage shares their executor."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def crc_mod(col, n: int):
     """crc32 of an id's decimal text modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % n
@@ -213,7 +208,7 @@ class WordMemory:
     starts anew when it is full: that changes speed, never results.
     """
 
-    def __init__(self, make, kinds: tuple, words: int = 1_500_000, items: int = 40_000_000):
+    def __init__(self, make, kinds: tuple, words: int = 1_500_000, items: int = 20_000_000):
         self.make, self.kinds, self.words, self.items = make, kinds, words, items
         self.clear()
 

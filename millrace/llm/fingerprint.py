@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix
+from .common import bounded_batches, lean, mix
 
 WINDOW = 64
 #: Texts too short to choose among windows of 64 bytes have all their windows of this size as features.
@@ -214,7 +214,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             made = digests([(t or "").encode() for t in batch.column("__text").to_pylist()], params)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array([text_of(d) for d in made], pa.string())], [*keep, "fingerprint"])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def in_order(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -237,7 +237,7 @@ def in_order(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(place(batch.column(0))), batch.column(0)], ["part", "doc_id"])
 
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(least, "part int, doc_id long")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(lean(least), "part int, doc_id long")
     firsts = ids.groupBy("part").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("has_null")).orderBy("part").collect()
     used = [r["part"] for r in firsts]
     before = {p: used[i - 1] for i, p in enumerate(used)}
@@ -254,7 +254,7 @@ def in_order(docs: DataFrame, text: str = "text") -> DataFrame:
                 to = pa.array([before[int(own[i])] for i in guests], pa.int32())
                 yield pa.RecordBatch.from_arrays([to, picked.column("doc_id"), picked.column("__text"), pa.array([True] * len(guests))], ["part", "doc_id", "__text", "guest"])
 
-    dealt = kept.mapInArrow(deal, "part int, doc_id long, __text string, guest boolean")
+    dealt = kept.mapInArrow(lean(deal), "part int, doc_id long, __text string, guest boolean")
     return dealt.repartitionById(len(edges) + 1, "part").sortWithinPartitions("part", "guest", F.col("doc_id").asc_nulls_first(), "__text")
 
 
@@ -307,4 +307,4 @@ def compare_neighbours(docs: DataFrame, text: str = "text", params: DigestParams
         if (out := answer(held)) is not None:
             yield out
 
-    return in_order(docs, text).mapInArrow(run, SCHEMA)
+    return in_order(docs, text).mapInArrow(lean(run), SCHEMA)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, byte_table, materialize, mix, slices, texts_of
+from .common import Words, bounded_batches, byte_table, lean, materialize, mix, slices, texts_of
 
 #: What separates words: all ASCII but digits and lower-case letters (texts are lower-cased first).
 SEPARATORS = byte_table(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
@@ -171,7 +171,7 @@ def scan_licenses(
                     [*keep, "n_words", "n_base", "first_word", "last_word", "base_labels", "grams", "words"],
                 )
 
-    measured = materialize(kept.mapInArrow(run, f"{columns}, {word}").withColumn("row_id", F.monotonically_increasing_id()), "licenses")
+    measured = materialize(kept.mapInArrow(lean(run), f"{columns}, {word}").withColumn("row_id", F.monotonically_increasing_id()), "licenses")
     table = spark.createDataFrame(rows, "hash long, template int, tpos long")
     hits = measured.where(F.size("grams") > 0).select("row_id", F.explode("grams").alias("g")).select("row_id", "g.pos", "g.hash")
     runs = votes(hits, table).groupBy("row_id").agg(F.collect_list(F.struct("template", "low", "high", "votes")).alias("runs"))
@@ -200,7 +200,7 @@ def scan_licenses(
                 [batch.column("row_id"), pa.array(labels, pa.list_(pa.string())), pa.array(spans, kind), pa.array(best, pa.float64())], ["row_id", "labels", "spans", "best"]
             )
 
-    spans = measured.where(F.size("grams") > 0).select("row_id", "words").join(runs, "row_id").mapInArrow(check, span)
+    spans = measured.where(F.size("grams") > 0).select("row_id", "words").join(runs, "row_id").mapInArrow(lean(check), span)
     joined = measured.drop("grams", "words").join(spans, "row_id", "left")
     base = F.filter(F.split("base_labels", ","), lambda x: x != "")
     return joined.select(

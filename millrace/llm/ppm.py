@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Table, Words, bounded_batches, crc_mod, materialize, slices, texts_of
+from .common import SLICE_BYTES, Table, Words, bounded_batches, crc_mod, lean, materialize, slices, texts_of
 
 #: Bytes that UTF-8 never has: the end of a text (coded like a byte) and what stands before its beginning.
 END, BEGIN = 0xFF, 0xFE
@@ -109,7 +109,7 @@ def count_corpus(train: DataFrame, text: str, params: PpmParams) -> DataFrame:
         yield from out(0)
         yield from out(1)
 
-    counted = train.select(F.col(text).alias("__text")).mapInArrow(run, "kind int, key long, n long")
+    counted = train.select(F.col(text).alias("__text")).mapInArrow(lean(run), "kind int, key long, n long")
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -299,7 +299,7 @@ def score_documents(docs: DataFrame, params: PpmParams = PpmParams(), text: str
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), *out], ["doc_id", "n_tokens", "n_known", "part_score", "score", "rare"])
 
     id_type = kept.schema["doc_id"].dataType.simpleString()
-    scored = kept.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, part_score double, score double, rare array<long>")
+    scored = kept.mapInArrow(lean(run), f"doc_id {id_type}, n_tokens long, n_known long, part_score double, score double, rare array<long>")
     scored = materialize(scored.withColumn("row_id", F.monotonically_increasing_id()), "ppm-scores")
     rare = scored.select("row_id", F.explode("rare").alias("key")).join(words.where(F.col("n") < floor), "key", "left")
     found = rare.groupBy("row_id").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(base)).alias("more"), F.count("n").alias("known"))

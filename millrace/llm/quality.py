@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import Words, bounded_batches, byte_table, mix, slices, texts_of
+from .common import Words, bounded_batches, byte_table, lean, mix, slices, texts_of
 
 #: Characters that count as symbols (fixed by the contract).
 SYMBOLS = byte_table(b"#*$%&|<>")
@@ -142,7 +142,7 @@ def quality(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id"
                     [*(part.column(c) for c in range(len(keep))), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], [*keep, *names]
                 )
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def keep_good(df: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -156,4 +156,4 @@ def keep_good(df: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
             for i, j in slices(texts):
                 yield batch.slice(i, j - i).filter(pa.array(measure(texts[i:j], rules, press)[6], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)

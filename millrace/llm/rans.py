@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordMemory, Words, bounded_batches, scratch, slices, texts_of
+from .common import WordMemory, Words, bounded_batches, lean, scratch, slices, texts_of
 
 MAGIC = b"MRANS\x00\x00\x01"
 #: Frequencies of a table add up to 2 ** PRECISION.
@@ -305,9 +305,9 @@ def encode_documents(docs: DataFrame, path: str, tokenizer: str | None = None, e
         if doc_ids:
             yield close()
 
-    ready = kept.mapInArrow(tokenise, "part int, doc_id long, tie long, ids binary, small boolean")
+    ready = kept.mapInArrow(lean(tokenise), "part int, doc_id long, tie long, ids binary, small boolean")
     ready = ready.repartitionById(len(edges) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie")
-    rows = ready.mapInArrow(write, "file string, part int, n_docs long, n_tokens long").collect()  # one row for each file
+    rows = ready.mapInArrow(lean(write), "file string, part int, n_docs long, n_tokens long").collect()  # one row for each file
     return spark.createDataFrame(sorted(tuple(r) for r in rows), "file string, part int, n_docs long, n_tokens long")
 
 
@@ -337,7 +337,7 @@ def decode_documents(files: DataFrame, path: str) -> DataFrame:
     if not starts:
         return spark.createDataFrame([], schema)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.rans").load(path).select("path", "content")
-    return found.mapInArrow(read, schema)
+    return found.mapInArrow(lean(read), schema)
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, path: str | None = None) -> DataFrame:

@@ -21,14 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WordMemory, Words, bounded_batches, byte_table, slices, texts_of
+from .common import WordMemory, Words, bounded_batches, byte_table, lean, slices, texts_of
 
 SPACE_MARK = "▁"
 _MARK_BYTES = SPACE_MARK.encode()
 _UNITS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*")
 #: Units and pairs remembered by a worker; when full, the memory is emptied. It changes speed, never results.
-MOST_UNITS = 200_000
-MOST_PAIRS = 400_000
+MOST_UNITS = 100_000
+MOST_PAIRS = 200_000
 LONGEST_KEPT = 48
 
 
@@ -122,7 +122,7 @@ class PieceEncoder:
                 right.append((part[-1], score))
             part[i : i + 2] = ["".join(part[i : i + 2])]
         out = ([*left, (piece, -math.inf)], [*right, (piece, -math.inf)]) if good else None
-        if len(self.grown) < MOST_PAIRS:
+        if piece in self.scores or len(piece) == 1:
             self.grown[piece] = out
         return out
 
@@ -256,7 +256,7 @@ def memory_of(model: str | None) -> WordMemory:
         made = (encoder.unit(SPACE_MARK + w.decode()) for w in words)
         return [(np.frombuffer(m[0], np.int32), np.frombuffer(m[1].encode(), np.uint8)) for m in made]
 
-    return WordMemory(make, (np.int32, np.uint8), words=1_000_000)
+    return WordMemory(make, (np.int32, np.uint8), words=750_000)
 
 
 def plain(text: bytes) -> bool:
@@ -317,4 +317,4 @@ def encode_pieces(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *out], [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, lean
 
 #: (host and path prefix, verdict): the production rules (fixed by the contract).
 RULES: tuple[tuple[str, str], ...] = (
@@ -214,4 +214,4 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, pa
                 [*keep, "host", "path", "rule", "verdict", "block_score"],
             )
 
-    return parts.mapInArrow(run, schema)
+    return parts.mapInArrow(lean(run), schema)

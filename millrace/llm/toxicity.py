@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_mod, materialize
+from .common import bounded_batches, crc_mod, lean, materialize
 
 # Letters of other scripts and signs that look like a Latin letter.
 LOOKALIKES = {
@@ -46,7 +46,9 @@ class ToxicityParams:
     fit_rows: int = 30_000
     shortest: int = 4
     longest: int = 9
+    #: An entry is in so many toxic rows, and in this share of them: copies of one text don't make an entry.
     min_rows: int = 4
+    min_share: float = 0.02
     #: Least log odds ratio of an entry.
     min_weight: float = 2.5
     max_entries: int = 5_000
@@ -94,9 +96,16 @@ def matches(folded: str, built: ahocorasick.Automaton) -> list[tuple[int, int, f
 
 
 def features(text: str, built: ahocorasick.Automaton) -> tuple[float, float, float, float]:
-    found = matches(folded := fold(text), built)
-    total = sum(m[2] for m in found)
-    return 1.0, math.log1p(max(total, 0.0)), total / math.sqrt(1 + folded.count(" ")), float(len({m[3] for m in found}))
+    folded = fold(text)
+    return measures(matches(folded, built), folded)
+
+
+def measures(found: list[tuple[int, int, float, str]], folded: str) -> tuple[float, float, float, float]:
+    """1, log(1 + sum), sum / sqrt(words) and the number of entries; an entry's further places add less and less."""
+    weights = {m[3]: m[2] for m in found}
+    counts = Counter(m[3] for m in found)
+    total = sum(w * (1 + math.log(counts[e])) for e, w in weights.items())
+    return 1.0, math.log1p(max(total, 0.0)), total / math.sqrt(1 + folded.count(" ")), float(len(weights))
 
 
 def squash(weights: tuple[float, ...], x: tuple[float, ...]) -> float:
@@ -119,7 +128,8 @@ def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, param
     """counts: (term, toxic rows, clean rows). A longer entry is taken only where no shorter one says as much."""
     odds = {t: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1)) for t, a, b in counts}
     rows = {t: (a, b) for t, a, b in counts}
-    strong = [t for t in odds if rows[t][0] >= params.min_rows and odds[t] >= params.min_weight and rows[t][0] > 2 * rows[t][1]]
+    least = max(params.min_rows, math.ceil(params.min_share * n_toxic))
+    strong = [t for t in odds if rows[t][0] >= least and odds[t] >= params.min_weight and rows[t][0] > 2 * rows[t][1]]
     strong.sort(key=lambda t: (len(t), t))
     taken: dict[str, float] = {}
     for t in strong:
@@ -134,7 +144,7 @@ def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, param
     return Lexicon(taken, [*spared, *(fold(p) for p in params.exceptions)])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, ...]:
     """Newton's method; the ridge keeps separable data finite."""
     w = np.zeros(x.shape[1])
     pull = np.full(x.shape[1], ridge)
@@ -180,7 +190,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
 
     # a term of the fitted rows can matter only if min_rows of them have it: what comes to the driver is bounded by fit_rows
     counts = (
-        sample.mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        sample.mapInArrow(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     strong = counts.where((F.col("toxic") >= params.min_rows) & (F.col("toxic") > 2 * F.col("clean")))
     weak = counts.where((F.col("clean") >= 3) & F.col("term").endswith(" ") & (F.col("toxic") * (sizes.get(False, 0) + 1) < F.col("clean") * (sizes.get(True, 0) + 1)))
@@ -199,7 +209,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
             rows = np.array([features(t or "", built) for t in batch.column("__text").to_pylist()]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(batch.column("__y"), pa.int32()), *(pa.array(rows[:, k]) for k in range(4))], ["y", "a", "b", "c", "d"])
 
-    rows = np.array(sample.mapInArrow(measure, "y int, a double, b double, c double, d double").collect(), dtype=float).reshape(-1, 5)
+    rows = np.array(sample.mapInArrow(lean(measure), "y int, a double, b double, c double, d double").collect(), dtype=float).reshape(-1, 5)
     if len(rows) and 0 < rows[:, 0].sum() < len(rows):
         lexicon.logistic = fit_logistic(rows[:, 1:], rows[:, 0])
     return lexicon
@@ -220,10 +230,8 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...] = ("doc_id",)
             scores, numbers, entries = [], [], []
             for t in batch.column("__text").to_pylist():
                 found = matches(folded := fold(t or ""), built)
-                total = sum(m[2] for m in found)
                 names = sorted({m[3].strip() for m in found})
-                x = (1.0, math.log1p(max(total, 0.0)), total / math.sqrt(1 + folded.count(" ")), float(len({m[3] for m in found})))
-                scores.append(squash(lexicon.logistic, x))
+                scores.append(squash(lexicon.logistic, measures(found, folded)))
                 numbers.append(len(found))
                 entries.append(names)
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +239,7 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...] = ("doc_id",)
                 [*keep, "score", "predicted", "n_matches", "entries"],
             )
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
@@ -254,4 +262,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
             good = [squash(lexicon.logistic, features(t or "", built)) < params.threshold for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -42,10 +42,13 @@ def usable_boxes(df: DataFrame, fmt: str) -> DataFrame:
 
 def overlapping(a: DataFrame, b: DataFrame, threshold: float = 0.5, fmt: str = "coco_xywh") -> DataFrame:
     """(image_id, i, j, iou, category_a, category_b): pairs of one image's boxes; an equi-join on the image with a filter."""
-    left = usable_boxes(a, fmt).select("image_id", "i", F.col("corners").alias("p"), F.col("category").alias("category_a"))
-    right = usable_boxes(b, fmt).select("image_id", F.col("i").alias("j"), F.col("corners").alias("q"), F.col("category").alias("category_b"))
-    pairs = left.join(right, "image_id").withColumn("iou", B.iou(F.col("p"), F.col("q")))
-    return pairs.where(F.col("iou") >= threshold).drop("p", "q")
+    sides = []
+    for df, side, at in ((a, "p", "i"), (b, "q", "j")):
+        rows = usable_boxes(df, fmt).select("image_id", F.col("i").alias(at), F.col("category").alias("category_a" if side == "p" else "category_b"), *(F.col("corners")[k].alias(f"{side}{k}") for k in range(4)))
+        sides.append(rows)
+    p, q = ([F.col(f"{side}{k}") for k in range(4)] for side in "pq")  # plain numbers: arrays would be unpacked for each pair
+    pairs = sides[0].join(sides[1], "image_id").withColumn("iou", B.iou(p, q))
+    return pairs.where(F.col("iou") >= threshold).select("image_id", "i", "category_a", "j", "category_b", "iou")
 
 
 def matches(a: DataFrame, b: DataFrame, threshold: float = 0.5, fmt: str = "coco_xywh") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, materialize, mix, slices, texts_of
+from .common import Words, bounded_batches, lean, materialize, mix, slices, texts_of
 
 
 @dataclass(frozen=True)
@@ -40,14 +40,14 @@ class JoinParams:
     small: int = 1_024
     depth: int = 4
     #: Least share of equal tokens (by one byte of each) of a candidate pair: a pair at the threshold of 0.8 has less
-    #: once in 10 million times.
+    #: than that once in two million times.
     alike: float = 0.62
     #: Sets that a task compares at once. Larger buckets are compared block by block.
     held: int = 16_384
     #: Texts and characters of a block in which pairs are verified.
     block: int = 1_024
     block_chars: int = 32 << 20
-    #: Candidate texts up to this number are sent to every task, more are joined by a shuffle.
+    #: Candidates (rows of a few numbers) up to this number are sent to every task, more are joined by a shuffle.
     broadcast_rows: int = 200_000
 
     @property
@@ -187,7 +187,7 @@ def embed(docs: DataFrame, params: JoinParams) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(words.lengths), tokens], ["doc_id", "text_key", "chars", "tokens"])
 
-    return docs.mapInArrow(run, "doc_id long, text_key binary, chars long, tokens binary")
+    return docs.mapInArrow(lean(run), "doc_id long, text_key binary, chars long, tokens binary")
 
 
 def tokens_array(column: pa.Array, n: int) -> np.ndarray:
@@ -262,8 +262,8 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
             made = np.ascontiguousarray((tokens >> np.uint32(24)) ^ (tokens >> np.uint32(9)), dtype=np.uint32).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array([r.tobytes() for r in made], pa.binary())], ["unit", "sketch"])
 
-    sketched = units.mapInArrow(sketches, "unit long, sketch binary")
-    rows = units.mapInArrow(start, "unit long, node long")
+    sketched = units.mapInArrow(lean(sketches), "unit long, sketch binary")
+    rows = units.mapInArrow(lean(start), "unit long, node long")
     found = []
     for level in range(params.depth + 1):
         last = level == params.depth
@@ -271,7 +271,7 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
         sizes = materialize(buckets(rows), "buckets")
         # buckets of the same sets count once
         kept = sizes.groupBy("n", "sign", "low").agg(F.min("node").alias("node")).select("node", "n")
-        dealt = rows.join(kept, "node")
+        dealt, n_dealt = rows.join(kept, "node"), kept.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         if last:  # blocks in pairs: an exact way for what is still larger than a task holds
             blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / (params.held // 2))).cast("int")
             own = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
@@ -279,13 +279,16 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
             other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             key = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
             dealt = other.select("unit", F.when(F.col("blocks") == 1, F.col("node")).otherwise(key).alias("node"))
-        ready = dealt.select("unit", "node").join(sketched, "unit").repartition("node").sortWithinPartitions("node", "unit")
-        edges = materialize(ready.mapInArrow(compare(last), "a long, b long, open boolean"), "compared")
+        dealt = dealt.select("unit", "node")
+        few = F.broadcast(dealt) if not last and n_dealt <= params.broadcast_rows else dealt
+        ready = few.join(sketched, "unit").repartition("node").sortWithinPartitions("node", "unit")
+        edges = materialize(ready.mapInArrow(lean(compare(last)), "a long, b long, open boolean"), "compared")
         found.append(edges.where("not open").select("a", "b"))
         left = edges.where("open").select(F.col("a").alias("unit"), F.col("b").alias("node"))
-        if last or left.isEmpty():
+        n_left = 0 if last else left.count()
+        if not n_left:
             break
-        rows = left.join(units, "unit").select("unit", "node", "tokens").mapInArrow(descend, "unit long, node long")
+        rows = (F.broadcast(left) if n_left <= params.broadcast_rows else left).join(units, "unit").select("unit", "node", "tokens").mapInArrow(lean(descend), "unit long, node long")
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -361,7 +364,7 @@ def verify(texts: DataFrame, params: JoinParams) -> DataFrame:
             final = np.full(len(first), blocks[0] == 1)
             yield pa.RecordBatch.from_arrays([pa.array(unit[first]), pa.array(links.sum(1).astype(np.int64)), pa.array(root), pa.array(final)], ["unit", "n_links", "root", "final"])
 
-    return texts.mapInArrow(run, "unit long, n_links long, root long, final boolean")
+    return texts.mapInArrow(lean(run), "unit long, n_links long, root long, final boolean")
 
 
 def classes(docs: DataFrame, params: JoinParams = JoinParams(), text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -87,3 +87,18 @@ def megabits_per_second(n_bytes: Column, seconds: Column) -> Column:
 
 def elo_expected(a: Column, b: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(10.0), (b - a) / 400.0))
+
+
+def counter(a: Column) -> Column:
+    """A map from each different value of a list to how often it stands there; null values are left out."""
+    have = F.filter(a, lambda x: x.isNotNull())
+    return F.map_from_entries(F.transform(F.array_distinct(have), lambda v: F.struct(v.alias("key"), F.size(F.filter(have, lambda x: x == v)).cast("long").alias("value"))))
+
+
+def text_keys(m: Column) -> Column:
+    return F.transform_keys(m, lambda k, v: k.cast("string"))
+
+
+def pairs_of(a: Column) -> Column:
+    """All pairs of places i < j of a list, as structs of ``a`` and ``b``."""
+    return F.flatten(F.transform(a, lambda x, i: F.transform(F.slice(a, i + 2, F.size(a)), lambda y: F.struct(x.alias("a"), y.alias("b")))))

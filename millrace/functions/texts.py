@@ -80,6 +80,16 @@ def detections(text: Column) -> Column:
     return F.when(F.size(good) > 0, good).otherwise(plain).cast(DETECTIONS)
 
 
+def entities(found: Column) -> Column:
+    """Entities with whole-number places, texts and labels; a missing score is 0."""
+    return F.transform(found, lambda e: F.struct(e["start"].cast("int").alias("start"), e["end"].cast("int").alias("end"), e["text"].cast("string").alias("text"), e["label"].cast("string").alias("label"), F.coalesce(e["score"].cast("double"), F.lit(0.0)).alias("score")))
+
+
+def above(found: Column, threshold: float | None) -> Column:
+    """What has a score of the threshold at least; without one, or with one of 0, all."""
+    return F.filter(found, lambda e: e["score"] >= threshold) if threshold and threshold > 0 else found
+
+
 def append_provenance(info: Column, entry: Column) -> Column:
     """The JSON list with one entry (a struct of strings) more; null, '' and what isn't a list of objects count as empty."""
     held = F.coalesce(F.from_json(info, "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))

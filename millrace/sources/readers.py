@@ -87,6 +87,19 @@ def snapshot(spark: SparkSession, source: str, at: str, endings: tuple[str, ...]
     return spark.read.schema("path string, name string, length long, source string").json(at).drop("source")
 
 
+def zip_configs(frames: dict[str, DataFrame], key: str, column: str) -> DataFrame:
+    """The first frame with one column more for each frame, named after it: its ``column`` for the same key.
+
+    Rows are paired by key, not by place, so frames may be in any order; what a frame lacks is null.
+    """
+    if not frames:
+        raise ValueError("no frame is given")
+    out = next(iter(frames.values())).drop(column)
+    for name, df in frames.items():
+        out = out.join(df.select(key, F.col(column).alias(name)), key, "left")
+    return out
+
+
 def from_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

@@ -411,3 +411,33 @@ def test_plan_facts(spark):
     assert one(spark, "x", T.prompt("a {t} {t}", t=F.col("t"))) == "a x x"
     with pytest.raises(ValueError, match="names"):
         T.prompt("{nope}", t=F.col("t"))
+
+
+def test_maps_pairs_and_entities(spark):
+    df = spark.createDataFrame([([3, 1, 3, None],), ([],)], "a array<int>")
+    assert [r[0] for r in df.select(N.text_keys(N.counter(F.col("a")))).collect()] == [{"3": 2, "1": 1}, {}]
+    assert [[tuple(p) for p in r[0]] for r in df.select(N.pairs_of(F.slice("a", 1, 3))).collect()] == [[(3, 1), (3, 3), (1, 3)], []]
+    found = spark.createDataFrame([([(1, 4, "abc", "x", None), (5, 6, "d", "y", 0.9)],)], "e array<struct<start:long,end:long,text:string,label:string,score:float>>")
+    made = T.entities(F.col("e"))
+    row = found.select(made.alias("all"), T.above(made, 0.5).alias("some"), T.above(made, 0).alias("every")).first()
+    assert row["all"][0]["score"] == 0.0 and len(row["some"]) == 1 and len(row["every"]) == 2
+
+
+def test_configs_side_by_side(spark):
+    from millrace.sources.readers import zip_configs
+
+    a = spark.createDataFrame([(1, "a1", "k"), (2, "a2", "l")], "id long, text string, extra string")
+    b = spark.createDataFrame([(2, "b2")], "id long, text string")
+    got = {r["id"]: r for r in zip_configs({"m0": a, "m1": b}, "id", "text").collect()}
+    assert (got[1]["m0"], got[1]["m1"], got[1]["extra"]) == ("a1", None, "k") and got[2]["m1"] == "b2"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from millrace.__main__ import main
+
+    assert main(["list"]) == 0 and "temporal_stats" in capsys.readouterr().out
+    assert main(["run", "nothing", "x"]) == 2
+    assert main(["run", "label_top", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")]) == 0
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 3
+    assert main(["run", "label_top", "/root/testdata/sf0.001", "--explain"]) == 0
+    assert "Exchange" in capsys.readouterr().out

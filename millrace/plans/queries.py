@@ -570,8 +570,8 @@ def provenance_append(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT doc_id AS k, [upper(source), lang, left(trim(text), 2500)] AS v, ['c0', 'c1', 'c2'] AS n FROM documents),
-    p AS (SELECT k, n[i] AS model_a, n[j] AS model_b, trim(v[i]) AS x, trim(v[j]) AS y FROM t, (SELECT 1 AS i, 2 AS j UNION ALL SELECT 1, 3 UNION ALL SELECT 2, 3)),
+    """WITH t AS (SELECT doc_id AS k, [upper(source), lang, text] AS v, ['c0', 'c1', 'c2'] AS n FROM documents),
+    p AS (SELECT k, n[i] AS model_a, n[j] AS model_b, left(trim(v[i]), 2500) AS x, left(trim(v[j]), 2500) AS y FROM t, (SELECT 1 AS i, 2 AS j UNION ALL SELECT 1, 3 UNION ALL SELECT 2, 3)),
     s AS (SELECT *, CAST(concat('0x', substr(md5(concat_ws('-', '42', CAST(k AS VARCHAR), model_a, model_b)), 1, 8)) AS BIGINT) % 2 = 1 AS swapped FROM p WHERE x <> '' AND y <> '')
     SELECT k AS doc_id, model_a, model_b, CASE WHEN swapped THEN y ELSE x END AS text_a, CASE WHEN swapped THEN x ELSE y END AS text_b, swapped FROM s"""
 )
@@ -680,12 +680,11 @@ def tile_plan(spark, sf_dir):
     return media.tile_plan(rows)
 
 
-@query("SELECT DISTINCT c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT concat('doc-', CAST(doc_id AS VARCHAR), '.md') AS name FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def superset_guard(spark, sf_dir):
     """Names that the other side has and this one lacks."""
-    customers = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
-    buyers = customers.join(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
-    return sinks.missing_files(buyers, customers)
+    files = lambda table: read(spark, sf_dir, table).select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".md")).alias("name"))
+    return sinks.missing_files(files("labels"), files("documents"))
 
 
 @query("""WITH d AS (SELECT p_partkey, 40 + p_partkey % 3000 AS h, 40 + p_partkey * 7 % 2500 AS w FROM part), n AS (SELECT *, round_even(h / 28.0, 0) * 28 AS hb, round_even(w / 28.0, 0) * 28 AS wb FROM d),

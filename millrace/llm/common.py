@@ -204,7 +204,7 @@ class Table:
 class WordMemory:
     """What is made of each different word, remembered by a worker and laid out for whole runs of texts at once.
 
-    ``make`` gets new words and gives an array for each store and word. Words are known by a 64-bit hash. The memory
+    ``make`` gets new words and gives, for each word, the bytes of its items in each store. Words are known by a 64-bit hash. The memory
     starts anew when it is full: that changes speed, never results.
     """
 
@@ -235,11 +235,12 @@ class WordMemory:
             parts = [m[k] for m in made]
             if top + 1 > len(self.ends[k]):
                 self.ends[k] = np.concatenate((self.ends[k], np.zeros(max(top, len(self.ends[k])), np.int64)))
-            ends = self.ends[k][self.count] + np.cumsum([len(x) for x in parts])
+            items = np.frombuffer(b"".join(parts), dtype=self.kinds[k])
+            ends = self.ends[k][self.count] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // items.itemsize)
             self.ends[k][self.count + 1 : top + 1] = ends
             if ends[-1] > len(self.flat[k]):
                 self.flat[k] = np.concatenate((self.flat[k], np.empty(max(int(ends[-1]), len(self.flat[k])), self.kinds[k])))
-            self.flat[k][self.ends[k][self.count] : ends[-1]] = np.concatenate(parts)
+            self.flat[k][self.ends[k][self.count] : ends[-1]] = items
         if top <= self.words:
             self.table.insert(keys, np.arange(self.count, top))
         else:  # a single run with more new words than fit: they are known to this run alone

@@ -218,12 +218,12 @@ class WordTokens:
                 found.update(zip(part, self.one_by_one(part), strict=True))
         return found
 
-    def runs(self, new: list[bytes]) -> list[tuple[np.ndarray]]:
+    def runs(self, new: list[bytes]) -> list[tuple[bytes]]:
         """Ids of each new run."""
         parts = [self.split(w) for w in new]
         pieces = self.pieces(list({p for ps in parts if ps for p in ps}))
         hard = iter(self.one_by_one([w.decode() for w, ps in zip(new, parts, strict=True) if ps is None]))
-        return [(np.frombuffer(next(hard) if ps is None else b"".join([pieces[p] for p in ps]), "<u4"),) for ps in parts]
+        return [(next(hard) if ps is None else b"".join([pieces[p] for p in ps]),) for ps in parts]
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of texts: the ids of them all, and how many each text has."""

@@ -27,7 +27,7 @@ SPACE_MARK = "▁"
 _MARK_BYTES = SPACE_MARK.encode()
 _UNITS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*")
 #: Units and pairs remembered by a worker; when full, the memory is emptied. It changes speed, never results.
-MOST_UNITS = 100_000
+MOST_UNITS = 150_000
 MOST_PAIRS = 200_000
 LONGEST_KEPT = 48
 
@@ -252,11 +252,11 @@ def encoder_of(model: str | None) -> PieceEncoder:
 def memory_of(model: str | None) -> WordMemory:
     encoder = encoder_of(model)
 
-    def make(words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def make(words: list[bytes]) -> list[tuple[bytes, bytes]]:
         made = (encoder.unit(SPACE_MARK + w.decode()) for w in words)
-        return [(np.frombuffer(m[0], np.int32), np.frombuffer(m[1].encode(), np.uint8)) for m in made]
+        return [(m[0], m[1].encode()) for m in made]
 
-    return WordMemory(make, (np.int32, np.uint8), words=750_000)
+    return WordMemory(make, (np.int32, np.uint8), words=1_000_000)
 
 
 def plain(text: bytes) -> bool:

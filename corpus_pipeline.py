@@ -41,7 +41,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
-    return encode_pieces(docs)
+    return encode_pieces(docs, remember=400_000)  # executors have four other stages behind them
 
 
 STAGES = [

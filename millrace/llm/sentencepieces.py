@@ -30,6 +30,8 @@ _UNITS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*")
 MOST_UNITS = 150_000
 MOST_PAIRS = 200_000
 LONGEST_KEPT = 48
+#: Different words whose ids a worker remembers, unless an operator's caller asks for less memory.
+REMEMBERED = 1_000_000
 
 
 def default_model() -> str:
@@ -249,14 +251,14 @@ def encoder_of(model: str | None) -> PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def memory_of(model: str | None) -> WordMemory:
+def memory_of(model: str | None, words: int = REMEMBERED) -> WordMemory:
     encoder = encoder_of(model)
 
     def make(words: list[bytes]) -> list[tuple[bytes, bytes]]:
         made = (encoder.unit(SPACE_MARK + w.decode()) for w in words)
         return [(m[0], m[1].encode()) for m in made]
 
-    return WordMemory(make, (np.int32, np.uint8), words=1_000_000)
+    return WordMemory(make, (np.int32, np.uint8), words=words)
 
 
 def plain(text: bytes) -> bool:
@@ -290,18 +292,19 @@ def encode_run(texts: list[bytes], encoder: PieceEncoder, memory: WordMemory) ->
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode_pieces(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), model: str | None = None, ids: bool = False) -> DataFrame:
+def encode_pieces(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), model: str | None = None, ids: bool = False, remember: int = REMEMBERED) -> DataFrame:
     """Columns ``keep``, n_tokens, ids_sha256, decoded_sha256 and, with ``ids``, the ids, for every row.
 
     A null text counts as empty and has no tokens. Each row is encoded alone, so repeated rows give repeated
-    results; other columns aren't read. ``model``: a SentencePiece model of the merge type, on every executor.
+    results; other columns aren't read. ``model``: a SentencePiece model of the merge type, on every executor. ``remember``
+    trades a worker's memory for speed and changes no result.
     """
     bounded_batches(docs.sparkSession)
     kept = docs.select(*(docs[c] for c in keep), docs[text].alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]), SCHEMA, *(["ids array<int>"] * ids)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, memory = encoder_of(model), memory_of(model)
+        encoder, memory = encoder_of(model), memory_of(model, remember)
         decode = encoder.library.decode
         for batch in batches:
             texts = texts_of(batch.column("__text"))

@@ -2,7 +2,8 @@
 
 Each source gets a mean repetition rate (target rows / rows it has). A document's number of copies is the Poisson
 quantile of a uniform number hashed from a seed and its id, so the same seed always gives the same mixture and a
-document's copies don't depend on other partitions. Copies are spread by a hashed key over the whole output.
+document's copies don't depend on other partitions. Means beyond a double's exp() are drawn as a sum of several such
+quantiles, which is Poisson again. Copies are spread by a hashed key over the whole output.
 """
 
 from __future__ import annotations
@@ -10,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Sources up to this number are joined by broadcast: each costs a rate and a table of at most MAX_COPIES doubles.
+#: Sources up to this number are joined by broadcast: each costs a table of at most some 1,050 doubles.
 BROADCAST_SOURCES = 1_000
-#: Mean rates beyond this are refused: a table of the distribution stays small.
-MAX_RATE = 500.0
+#: The largest mean of one quantile: exp(-mean) is a normal double up to 708. A larger rate is drawn in equal parts.
+MAX_RATE = 700.0
 
 
 def uniform(seed: str, *keys) -> F.Column:
@@ -39,7 +40,7 @@ def rates(docs: DataFrame, weights: DataFrame | None = None, alpha: float = 0.5,
     sums = sizes.agg(F.sum("__w").alias("__sw"), F.sum("__n").alias("__sn"))
     target = F.col("__sn") if total is None else F.lit(float(total))
     rate = F.coalesce(F.try_divide(target * F.col("__w"), F.col("__sw") * F.col("__n")), F.lit(0.0))
-    return sizes.join(F.broadcast(sums)).select("__source", F.least(rate, F.lit(MAX_RATE)).alias("rate"))
+    return sizes.join(F.broadcast(sums)).select("__source", rate.alias("rate"))
 
 
 def distribution(rate) -> F.Column:
@@ -54,6 +55,17 @@ def distribution(rate) -> F.Column:
     return F.aggregate(F.sequence(F.lit(1), last), start, step)["all"]
 
 
+def copies(name: F.Column, seed: str) -> F.Column:
+    """The Poisson count of a row with the columns __mix_cdf and __mix_draws: the sum of as many quantiles as draws."""
+
+    def quantile(u):
+        return F.size(F.filter("__mix_cdf", lambda c: c < u))
+
+    further = F.sequence(F.lit(1), F.col("__mix_draws") - 1)
+    more = F.aggregate(further, F.lit(0), lambda n, k: n + quantile(uniform(f"{seed}-draw", k.cast("string"), name)))
+    return quantile(F.col("__mix_u")) + F.when(F.col("__mix_draws") > 1, more).otherwise(F.lit(0))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: DataFrame | None = None,
@@ -72,7 +84,8 @@ def mix_sources(
     spark = docs.sparkSession
     docs = docs.drop("mix_copy", "mix_key")
     table = rates(docs, weights, alpha, total, source)
-    table = table.where(F.col("rate") > 0).select(F.col("__source").alias("__mix_source"), distribution(F.col("rate")).alias("__mix_cdf"))
+    draws = F.ceil(F.col("rate") / F.lit(MAX_RATE)).cast("int")
+    table = table.where(F.col("rate") > 0).select(F.col("__source").alias("__mix_source"), draws.alias("__mix_draws"), distribution(F.col("rate") / draws).alias("__mix_cdf"))
     few = docs.select(source).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     own = F.coalesce(F.col(source), F.lit(""))
     name = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
@@ -84,9 +97,9 @@ def mix_sources(
         salted = docs.withColumns({"__mix_source": own, "__mix_salt": F.pmod(F.xxhash64(name), F.lit(salts)).cast("int")})
         joined = salted.join(spread, ["__mix_source", "__mix_salt"]).drop("__mix_salt")
     drawn = joined.withColumn("__mix_u", uniform(seed, name))
-    counted = drawn.withColumn("__mix_n", F.size(F.filter("__mix_cdf", lambda c: c < F.col("__mix_u")))).where("__mix_n > 0")
-    copies = counted.drop("__mix_source", "__mix_cdf", "__mix_u").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1))).drop("__mix_n")
-    keyed = copies.withColumn("mix_key", F.md5(F.concat_ws("-", F.lit(f"{seed}-order"), name, F.col("mix_copy").cast("string"))))
+    counted = drawn.withColumn("__mix_n", copies(name, seed)).where("__mix_n > 0")
+    copied = counted.drop("__mix_source", "__mix_draws", "__mix_cdf", "__mix_u").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1))).drop("__mix_n")
+    keyed = copied.withColumn("mix_key", F.md5(F.concat_ws("-", F.lit(f"{seed}-order"), name, F.col("mix_copy").cast("string"))))
     # the key is uniform, so its first bits are an even range partitioning that needs no sampling pass over the texts
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     place = F.floor(F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") * F.lit(parts / 2.0**32)).cast("int")

@@ -85,3 +85,22 @@ def test_distribution_reaches_one(spark):
     for rate in (0.01, 1.0, 30.0, MAX_RATE):
         cdf = spark.range(1).select(distribution(F.lit(rate)).alias("c")).first()["c"]
         assert abs(cdf[-1] - 1) < 1e-9 and cdf == sorted(cdf)
+
+
+def test_large_rates_are_drawn_whole(spark):
+    rows = [(i, "t", "small" if i < 4 else "big") for i in range(2_404)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("small", 1.0), ("big", 1.0)], "source string, weight double")
+    # one quantile as long as exp(-rate) is a double: 600 and 1
+    out = mix_sources(df, weights, total=4_800).select("doc_id").collect()
+    wanted = brute_counts([(d, s) for d, _, s in rows], {"small": 600.0, "big": 1.0})
+    assert Counter(r["doc_id"] for r in out) == Counter({k: v for k, v in wanted.items() if v})
+    # several beyond it: 2,500 is drawn as four of 625
+    out = mix_sources(df.where("source = 'small'"), weights, total=10_000).select("doc_id", "mix_copy").collect()
+    got = Counter(r["doc_id"] for r in out)
+    assert abs(sum(got.values()) - 10_000) < 500 and all(abs(n - 2_500) < 250 for n in got.values())
+    assert {(r["doc_id"], r["mix_copy"]) for r in out} == {(d, k) for d, n in got.items() for k in range(n)}
+    wanted = brute_counts([(d, "small") for d in range(4)], {"small": 625.0})
+    for k in (1, 2, 3):
+        wanted += Counter({int(d.split("-")[1]): n for d, n in brute_counts([(f"{k}-{d}", "small") for d in range(4)], {"small": 625.0}, "mix-1-draw").items()})
+    assert got == wanted

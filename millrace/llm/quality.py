@@ -1,7 +1,7 @@
 """Quality rules: word statistics and compression bands.
 
 A document passes if its zstandard compression ratio (bytes / compressed bytes) lies inside the band of its
-length, over the whole text and over each fixed chunk. Text below a band is incompressible (encoded or random
+length, over the whole text and over each fixed chunk, the rest at its end included. Text below a band is incompressible (encoded or random
 data), text above it repeats itself.
 """
 
@@ -49,7 +49,7 @@ class QualityRules:
     max_repeat_percent: int = 50
     bands: tuple[Band, ...] = BANDS
     chunk_bytes: int = 4_096
-    #: Share of a text's chunks that may lie outside their band.
+    #: Share of a text's bytes that may lie in chunks outside their band.
     max_bad_chunks: float = 0.25
     level: int = 3
 
@@ -70,18 +70,21 @@ def compression(text: bytes, rules: QualityRules, press: zstandard.ZstdCompresso
         return 0.0, 0, 0, ""
     ratio = len(text) / len(press.compress(text))
     band = band_of(len(text), rules.bands)
-    chunks = bad = 0
+    chunks = bad = bad_bytes = 0
     if len(text) > rules.chunk_bytes:
-        inner = band_of(rules.chunk_bytes - 1, rules.bands)
-        for at in range(0, len(text) - rules.chunk_bytes + 1, rules.chunk_bytes):
-            part = rules.chunk_bytes / len(press.compress(text[at : at + rules.chunk_bytes]))
+        for at in range(0, len(text), rules.chunk_bytes):
+            chunk = text[at : at + rules.chunk_bytes]
+            # the last chunk may be short: it has the band of its own length, and weighs as much as it is long
+            inner = band_of(min(len(chunk), rules.chunk_bytes - 1), rules.bands)
             chunks += 1
-            bad += not inner.low <= part <= inner.high
+            if not inner.low <= len(chunk) / len(press.compress(chunk)) <= inner.high:
+                bad += 1
+                bad_bytes += len(chunk)
     if ratio < band.low:
         return ratio, chunks, bad, "incompressible"
     if ratio > band.high:
         return ratio, chunks, bad, "repetitive"
-    return ratio, chunks, bad, "chunks" if chunks and bad > rules.max_bad_chunks * chunks else ""
+    return ratio, chunks, bad, "chunks" if bad_bytes > rules.max_bad_chunks * len(text) else ""
 
 
 def repeated_words(words: Words, hashes: np.ndarray) -> np.ndarray:

@@ -77,3 +77,28 @@ def test_keep_good_keeps_all_columns(spark):
     wanted = [t for _, t, *_ in NASTY if not brute(t)[-1] and compressed_well(t)]
     assert Counter(r["text"] for r in kept.collect()) == Counter(wanted)
     assert zlib.crc32(b"") == 0
+
+
+def test_the_end_of_a_text_is_judged(spark):
+    import base64
+
+    rng = random.Random(4)
+    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(2_000))
+    noise = " ".join(base64.b64encode(rng.randbytes(9)).decode() for _ in range(400))
+    loops = "the same old line once more\n" * 200
+    texts = [
+        prose[:8_000],
+        prose[:4_096] + noise[:4_000],
+        prose[:4_096] + loops[:4_000],
+        prose[:4_096] + "-" * 130,  # a short end weighs little
+        prose[:8_192] + noise[:4_000],
+        prose[:8_192],
+        noise[:4_096] + prose[:8_192],
+    ]
+    got = {r["doc_id"]: r for r in quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    measured = [(got[k]["n_chunks"], got[k]["n_bad_chunks"], got[k]["reason"] == "chunks") for k in range(len(texts))]
+    # by hand: bytes of bad chunks over bytes of the text against 0.25; the last is 4,096 of 12,288
+    assert [m[:2] for m in measured] == [(2, 0), (2, 1), (2, 1), (2, 1), (3, 1), (2, 0), (3, 1)]
+    rejected = {k for k in range(len(texts)) if not got[k]["base_failed"] and got[k]["reason"]}
+    assert rejected == {k for k in (1, 4, 6)} | ({2} if not got[2]["base_failed"] else set())
+    assert not got[1]["base_failed"] and measured[1][2] and got[3]["kept"] and not got[2]["kept"]

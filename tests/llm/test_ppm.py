@@ -112,3 +112,16 @@ def test_query_matches_brute_force(spark):
 
 def test_empty_table(spark):
     assert rows_of(spark, []).collect() == []
+
+
+@pytest.mark.parametrize("order", [1, 3, 5])
+def test_rare_groups_count_whatever_their_share(spark, order):
+    rng = random.Random(order)
+    data = [(i, "".join(rng.choice("aab cdé") for _ in range(rng.randint(0, 40))), "") for i in range(60)]
+    data += [(60 + i, f"the name {i}{i} zyx{chr(0x430 + i)}", "") for i in range(20)] + [(90, "", ""), (91, "QQ\x01~", "")]
+    # a group is sent to every task from 5 % of the bytes: nearly all are joined
+    got = score_documents(spark.createDataFrame(data, "doc_id long, text string, rare string"), PpmParams(order=order, least=0.05, common_word=0.05)).collect()
+    low = {d: t.encode().lower() for d, t, _ in data}
+    train = [t for d, t in low.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    assert len(train) < len(data) == len(got)
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({d: brute_score(train, t, order) for d, t in low.items()})

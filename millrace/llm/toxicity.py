@@ -46,9 +46,11 @@ class ToxicityParams:
     fit_rows: int = 30_000
     shortest: int = 4
     longest: int = 9
-    #: An entry is in so many toxic rows, and in this share of them: copies of one text don't make an entry.
+    #: An entry is in so many different toxic texts, and either in this share of them or in more than chance explains:
+    #: texts labelled at random would have it in toxic ones only with a probability below exp(-min_evidence).
     min_rows: int = 4
     min_share: float = 0.02
+    min_evidence: float = 14.0
     #: Least log odds ratio of an entry.
     min_weight: float = 2.5
     max_entries: int = 5_000
@@ -124,12 +126,21 @@ def terms(text: str, params: ToxicityParams) -> set[str]:
     return found
 
 
+def evidence(toxic: int, clean: int, rate: float) -> float:
+    """-log of Chernoff's bound of the chance that so many of toxic + clean texts are toxic, where ``rate`` of all are."""
+    n = toxic + clean
+    if not 0 < rate < 1 or toxic <= rate * n:
+        return 0.0
+    return toxic * math.log(toxic / n / rate) + (clean * math.log(clean / n / (1 - rate)) if clean else 0.0)
+
+
 def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, params: ToxicityParams) -> Lexicon:
-    """counts: (term, toxic rows, clean rows). A longer entry is taken only where no shorter one says as much."""
+    """counts: (term, toxic texts, clean texts). A longer entry is taken only where no shorter one says as much."""
     odds = {t: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1)) for t, a, b in counts}
     rows = {t: (a, b) for t, a, b in counts}
-    least = max(params.min_rows, math.ceil(params.min_share * n_toxic))
-    strong = [t for t in odds if rows[t][0] >= least and odds[t] >= params.min_weight and rows[t][0] > 2 * rows[t][1]]
+    common, rate = math.ceil(params.min_share * n_toxic), n_toxic / max(n_toxic + n_clean, 1)
+    sure = [t for t, (a, b) in rows.items() if a >= params.min_rows and (a >= common or evidence(a, b, rate) >= params.min_evidence)]
+    strong = [t for t in sure if odds[t] >= params.min_weight and rows[t][0] > 2 * rows[t][1]]
     strong.sort(key=lambda t: (len(t), t))
     taken: dict[str, float] = {}
     for t in strong:
@@ -168,7 +179,10 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     train = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.fit_rows)
     sample = docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(train), "doc_id").select("__y", "__text")
     sample = materialize(sample, "toxicity")
-    sizes = {bool(r["__y"]): r["n"] for r in sample.groupBy((F.col("__y") == 1).alias("__y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # copies of one text count once, so they don't make an entry
+    same = F.md5(F.trim(F.regexp_replace(F.lower(F.coalesce("__text", F.lit(""))), r"\s+", " ")))
+    once = sample.withColumn("__same", same).dropDuplicates(["__y", "__same"]).drop("__same")
+    sizes = {bool(r["__y"]): r["n"] for r in once.groupBy((F.col("__y") == 1).alias("__y")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (Counter(), Counter())
@@ -190,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
 
     # a term of the fitted rows can matter only if min_rows of them have it: what comes to the driver is bounded by fit_rows
     counts = (
-        sample.mapInArrow(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        once.mapInArrow(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     strong = counts.where((F.col("toxic") >= params.min_rows) & (F.col("toxic") > 2 * F.col("clean")))
     weak = counts.where((F.col("clean") >= 3) & F.col("term").endswith(" ") & (F.col("toxic") * (sizes.get(False, 0) + 1) < F.col("clean") * (sizes.get(True, 0) + 1)))

@@ -104,3 +104,24 @@ def test_given_entries_and_empty_text():
     lexicon = T.choose([], 0, 0, ToxicityParams(entries=(("Blorp", 4.0),)))
     assert " blorp " in lexicon.weights
     assert T.features("", lexicon.automaton())[1:] == (0.0, 0.0, 0.0)
+
+
+def test_terms_of_a_small_group_are_entries():
+    from millrace.llm.toxicity import ToxicityParams, choose, evidence
+
+    # 60 of 3,300 toxic texts and no clean one: under 2 %, but not by chance; five are too few to tell
+    lexicon = choose([(" zaffre", 60, 0), (" common", 900, 3), (" fivefold", 5, 0), (" evenly", 60, 480)], 3_300, 26_700, ToxicityParams())
+    assert set(lexicon.weights) == {" zaffre", " common"}
+    assert evidence(60, 480, 0.11) < 1 and evidence(0, 0, 0.5) == evidence(3, 0, 1.0) == 0.0
+
+
+def test_copies_of_a_text_make_no_entry(spark):
+    from millrace.llm.toxicity import learn
+
+    rng = random.Random(8)
+    plain = lambda: " ".join("".join(rng.choice("bcdfglmnrst") + rng.choice("aeiou") for _ in range(3)) for _ in range(20))
+    rows = [(i, plain() + " quabbernaut", 1) if i % 10 == 0 else (i, plain(), 0) for i in range(900)]
+    rows += [(1_000 + i, "Zyxomorph  copied words" if i % 2 else "zyxomorph copied\twords", 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = learn(df.select("doc_id", "text"), df.select("doc_id", "toxic")).weights
+    assert any(t.startswith(" quab") for t in found) and not any(t.startswith(" zyxo") for t in found)

@@ -78,7 +78,10 @@ def oracle(sql: str, *views: str) -> str:
         return sql
     head = ",\n".join(f"{n} AS ({VIEWS[n]}\n)" for n in names)
     body = sql.strip()
-    return f"WITH {head},\n{body[5:]}" if body.upper().startswith("WITH ") else f"WITH {head}\n{body}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return f"{start}{head},\n{body[len(start):]}"
+    return f"WITH {head}\n{body}"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -310,13 +310,29 @@ def diff_iou_pairs(spark, sf_dir):
     return diff.overlapping(images(spark, sf_dir), images(spark, sf_dir, "b")).withColumn("iou", F.round("iou", 6))
 
 
-@query()
+MATCHED = f"""{IOU}, ranked AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY iou DESC, i DESC, j DESC) AS k FROM pairs WHERE iou >= 0.5
+), steps AS (
+  SELECT DISTINCT image_id, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS used_i, CAST([] AS BIGINT[]) AS used_j, false AS taken FROM ranked
+  UNION ALL
+  SELECT s.image_id, r.k, CASE WHEN free THEN list_append(used_i, r.i) ELSE used_i END, CASE WHEN free THEN list_append(used_j, r.j) ELSE used_j END, free
+  FROM steps s JOIN ranked r ON r.image_id = s.image_id AND r.k = s.k + 1, LATERAL (SELECT NOT list_contains(s.used_i, r.i) AND NOT list_contains(s.used_j, r.j) AS free)
+), matched AS (SELECT r.* FROM ranked r JOIN steps s ON s.image_id = r.image_id AND s.k = r.k WHERE s.taken)"""
+
+
+@query(f"WITH RECURSIVE {MATCHED} SELECT image_id, CAST(i AS INTEGER) AS i, category_a, CAST(j AS INTEGER) AS j, category_b, round(iou, 6) AS iou FROM matched", "boxes_b")
 def diff_matches(spark, sf_dir):
     """One-to-one matches of boxes, the best overlap first."""
-    return diff.matches(images(spark, sf_dir), images(spark, sf_dir, "b"))
+    return diff.matches(images(spark, sf_dir), images(spark, sf_dir, "b")).withColumn("iou", F.round("iou", 6))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {MATCHED}, both_sides AS (SELECT DISTINCT image_id FROM boxes_a WHERE image_id IN (SELECT image_id FROM boxes_b)),
+    m AS (SELECT count(*) AS matched, count(*) FILTER (WHERE category_a <> category_b) AS modified FROM matched),
+    p AS (SELECT count(*) FILTER (WHERE image_id IN (FROM both_sides)) AS shared_a, count(*) FILTER (WHERE image_id NOT IN (FROM both_sides)) AS only_a FROM u),
+    q AS (SELECT count(*) FILTER (WHERE image_id IN (FROM both_sides)) AS shared_b, count(*) FILTER (WHERE image_id NOT IN (FROM both_sides)) AS only_b FROM v)
+    SELECT matched, modified, shared_a - matched AS removed, shared_b - matched AS added, only_a, only_b FROM m, p, q""",
+    "boxes_b",
+)
 def diff_counts(spark, sf_dir):
     """Matched, modified, removed and added boxes."""
     return diff.counts(images(spark, sf_dir), images(spark, sf_dir, "b"))
@@ -364,7 +380,20 @@ def named_categories(spark, sf_dir):
     return images(spark, sf_dir).withColumn("category", F.transform("category", lambda c: F.coalesce(c, F.lit("<unknown>"))))
 
 
-@query()
+@query(
+    """WITH RECURSIVE c AS (SELECT DISTINCT image_id, coalesce(category, '<unknown>') AS category, md5(concat('42-', CAST(image_id AS VARCHAR))) AS o FROM boxes_a),
+    n AS (SELECT category, count(*) AS rows, list(image_id ORDER BY o, image_id) AS own FROM c GROUP BY 1),
+    w AS (SELECT own, greatest(1, CAST(round_even(100.0 * rows / (SELECT sum(rows) FROM n), 0) AS BIGINT)) AS wanted, category FROM n),
+    r AS (SELECT *, row_number() OVER (ORDER BY wanted, category) AS k FROM w),
+    steps AS (
+      SELECT CAST(0 AS BIGINT) AS k, list_filter([max(image_id)], lambda x: false) AS chosen FROM c
+      UNION ALL
+      SELECT r.k, list_concat(chosen, list_filter(own, lambda x: NOT list_contains(chosen, x))[1:greatest(wanted - len(list_intersect(chosen, own)), 0)]) FROM steps s JOIN r ON r.k = s.k + 1
+    ), e AS (SELECT chosen FROM steps ORDER BY k DESC LIMIT 1), f AS (SELECT list(image_id ORDER BY o, image_id) AS own FROM (SELECT DISTINCT image_id, o FROM c)),
+    g AS (SELECT unnest(list_concat(chosen, list_filter(own, lambda x: NOT list_contains(chosen, x))[1:greatest(100 - len(chosen), 0)])) AS image_id FROM e, f)
+    SELECT image_id FROM g ORDER BY md5(concat('42-', CAST(image_id AS VARCHAR))), image_id LIMIT 100""",
+    "boxes_a",
+)
 def sample_stratified(spark, sf_dir):
     """A hundred images in which every category has its share."""
     return sampling.stratified(named_categories(spark, sf_dir), 100, "image_id").select("image_id")
@@ -528,13 +557,35 @@ def front_matter(spark, sf_dir):
     return view(spark, sf_dir, "llm_text").withColumn("m", T.front_matter(F.col("raw"))).select("doc_id", F.get_json_object("m.metadata", "$.primary_language").alias("primary_language"), "m.body")
 
 
-@query()
+NUMBER = r"-?\d+(?:\.\d+)?"
+BRACKETS = r"\[\s*" + r"\s*,\s*".join([NUMBER] * 4) + r"\s*\]"
+
+
+@query(
+    rf"""WITH t AS (SELECT doc_id, regexp_replace(raw, '#[^\n]*', '', 'g') AS raw FROM llm_text),
+    o AS (SELECT doc_id, list_transform(regexp_extract_all(raw, '\{{[^{{}}]*\}}'), lambda x: regexp_replace(x, ',\s*([}}\]])', '\1', 'g')) AS objects, regexp_extract_all(raw, '{BRACKETS}') AS brackets FROM t),
+    g AS (SELECT doc_id, brackets, list_filter(objects, lambda x: json_valid(x) AND coalesce(json_array_length(coalesce(json_extract(x, '$.bbox_2d'), json_extract(x, '$.bbox'))), 0) = 4) AS good FROM o),
+    d AS (SELECT doc_id, unnest(list_transform(good, lambda x: {{'b': coalesce(json_extract(x, '$.bbox_2d'), json_extract(x, '$.bbox')), 'l': coalesce(json_extract_string(x, '$.label'), ''), 's': coalesce(json_extract_string(x, '$.sub_label'), '')}})) AS d FROM g
+      UNION ALL SELECT doc_id, unnest(list_transform(brackets, lambda x, k: {{'b': CAST(x AS JSON), 'l': concat('object_', CAST(k AS VARCHAR)), 's': ''}})) FROM g WHERE len(good) = 0)
+    SELECT doc_id, CAST(d.b->0 AS DOUBLE) AS x0, CAST(d.b->1 AS DOUBLE) AS y0, CAST(d.b->2 AS DOUBLE) AS x1, CAST(d.b->3 AS DOUBLE) AS y1, d.l AS label, d.s AS sub_label FROM d""",
+    "llm_text",
+)
 def bbox_json_parse(spark, sf_dir):
     """Detections out of a model's text, mistakes forgiven."""
-    return view(spark, sf_dir, "llm_text").select("doc_id", F.explode(T.detections(F.col("raw"))).alias("d")).select("doc_id", "d.*")
+    found = view(spark, sf_dir, "llm_text").select("doc_id", F.explode(T.detections(F.col("raw"))).alias("d"))
+    return found.select("doc_id", *(F.col("d.bbox")[k].alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))), "d.label", "d.sub_label")
 
 
-@query()
+@query(
+    """WITH t AS (SELECT doc_id, text, length(text) AS n, length(text) >= 8000 AS long, str_split(CASE WHEN length(text) >= 8000 THEN reverse(text) END, '') AS c FROM documents),
+    near AS (SELECT doc_id, text, n, unnest(list_filter(range(2, n // 10 + 1), lambda p: c[1:6] = c[p + 1:p + 6] OR p < 6)) AS p FROM t WHERE long),
+    loops AS (SELECT doc_id, text, n, min(p) AS p FROM near WHERE right(text, 10 * p) = repeat(right(text, p), 10) GROUP BY ALL),
+    counted AS (SELECT doc_id, n, p, (SELECT max(k) FROM range(10, n // p + 1) r(k) WHERE right(text, k * p) = repeat(right(text, p), k)) AS times FROM loops),
+    pieces AS (SELECT doc_id, text, right(text, 4000) AS tail, unnest(range(10, 200)) AS size FROM t WHERE n > 8000),
+    often AS (SELECT doc_id, min(size) AS size FROM pieces WHERE (length(tail) - length(replace(tail, right(tail, size), ''))) / size >= 10 GROUP BY 1)
+    SELECT t.doc_id, coalesce(t.n - counted.p * (counted.times - 1), t.n) AS n_loop, coalesce(strpos(t.text, right(t.text, often.size)) - 1 + often.size, t.n) AS n_pattern
+    FROM t LEFT JOIN counted ON counted.doc_id = t.doc_id LEFT JOIN often ON often.doc_id = t.doc_id"""
+)
 def trim_repeats(spark, sf_dir):
     """Texts without runaway repetition at their end."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -604,7 +655,18 @@ def leaderboard(spark, sf_dir):
     return judging.leaderboard(judging.unswapped(judging.jury(view(spark, sf_dir, "votes"))))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {JURY}, games AS (SELECT row_number() OVER (ORDER BY sample_idx, model_a, model_b) AS k, CAST(substr(model_a, 2) AS INTEGER) + 1 AS a, CAST(substr(model_b, 2) AS INTEGER) + 1 AS b,
+      CASE winner WHEN 'A' THEN 1.0::DOUBLE WHEN 'B' THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS s FROM open),
+    steps AS (
+      SELECT CAST(0 AS BIGINT) AS k, [1500.0::DOUBLE, 1500.0::DOUBLE, 1500.0::DOUBLE, 1500.0::DOUBLE] AS r
+      UNION ALL
+      SELECT g.k, list_transform(r, lambda x, i: x + CASE WHEN i = g.a THEN change WHEN i = g.b THEN -change ELSE 0 END)
+      FROM steps s JOIN games g ON g.k = s.k + 1, LATERAL (SELECT 32 * (g.s - 1 / (1 + pow(10, (s.r[g.b] - s.r[g.a]) / 400))) AS change)
+    ), e AS (SELECT r FROM steps ORDER BY k DESC LIMIT 1), played AS (SELECT model, count(*) AS games FROM (SELECT model_a AS model FROM open UNION ALL SELECT model_b FROM open) GROUP BY 1)
+    SELECT model, round(e.r[CAST(substr(model, 2) AS INTEGER) + 1], 6) AS elo, games FROM played, e""",
+    "votes",
+)
 def elo(spark, sf_dir):
     """Ratings after all comparisons in order."""
     return judging.elo(judging.unswapped(judging.jury(view(spark, sf_dir, "votes"))))
@@ -619,10 +681,10 @@ def resume_remaining(spark, sf_dir):
     return sinks.remaining(read(spark, sf_dir, "documents").select("doc_id", "source"), read(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 64) AS BIGINT) AS batch FROM documents")
+@query("SELECT doc_id, source, text, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 64) AS BIGINT) AS batch FROM documents")
 def batch_numbers(spark, sf_dir):
     """Batches of 64 rows in order."""
-    return sinks.batch_numbers(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 64)
+    return sinks.batch_numbers(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id", 64)
 
 
 CHUNKS = """c AS (SELECT conv_id, turn, n, unnest(range(CAST(greatest(ceil((n - 30) / 28.0), 0) AS BIGINT) + 1)) AS chunk FROM (SELECT conv_id, turn, length(text) AS n FROM conversations) WHERE n > 0)"""

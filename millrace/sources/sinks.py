@@ -8,9 +8,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .scratch import materialize
+
 
 def replace(df: DataFrame, path: str, config: str | None = None, staging: bool = False, max_rows: int | None = None, by: list[str] | None = None) -> str:
     """Writes a whole set in place of the old one; with ``staging`` beside it, for review."""
@@ -65,17 +67,16 @@ def append_shards(df: DataFrame, path: str, key: str, max_rows: int = 10_000, re
 
 
 def batch_numbers(df: DataFrame, key: str, size: int) -> DataFrame:
-    """Adds ``batch``: numbers from 0 of ``size`` rows each in the order of a unique key.
+    """Adds ``batch``: numbers from 0 of ``size`` rows each in the order of a unique key, null first.
 
-    Counting by ranges: each partition numbers its own rows, and only one count for each partition is summed up.
+    Each range of keys numbers its own rows, and only one count for each range is summed up. Ranges are drawn from a sample,
+    anew in each plan, so the numbered rows are written once and both sides read what was written.
     """
-    sorted_ = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
-    sorted_ = sorted_.withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = sorted_.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-
+    ranged = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
+    ranged = materialize(ranged.withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "batches")
+    counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__before"))  # one row for each partition
-    joined = sorted_.join(F.broadcast(before), "__p")
+    joined = ranged.join(F.broadcast(before), "__p")
     return joined.withColumn("batch", F.floor((F.col("__before") + F.col("__i")) / size).cast("long")).drop("__p", "__i", "__before")
 
 

@@ -82,25 +82,20 @@ IS_SPACE = byte_table(SPACE)
 
 
 @lru_cache(maxsize=1)
-def _powers() -> list[np.ndarray]:
-    rng = np.random.Generator(np.random.PCG64(20240607))
-    bytes_to = rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-    return [bytes_to, np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def _byte_numbers() -> np.ndarray:
+    """A fixed random number for each byte."""
+    return np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, 256, dtype=np.uint64)
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_UNBASE = pow(_BASE, -1, 2**64)
+_PLACES = [np.empty(0, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    held = _powers()
-    if len(held[1]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        for k, base in ((1, _BASE), (2, _UNBASE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            held[k] = np.cumprod(steps, dtype=np.uint64)
-    return held[0], held[1], held[2]
+def _place_numbers(n: int) -> np.ndarray:
+    """A fixed random number for each of the first n places in a word, none a multiple of another."""
+    if len(_PLACES[0]) < n:
+        size = 1 << max(12, int(n - 1).bit_length())
+        _PLACES[0] = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _PLACES[0]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -135,12 +130,17 @@ class Words:
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, the same in every process."""
-        to, power, unpower = _power_tables(len(self.buf))
-        sums = np.empty(len(self.buf) + 1, dtype=np.uint64)
-        sums[0] = 0
-        np.cumsum(to[self.buf] * power[: len(self.buf)], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * unpower[self.start] + (self.end - self.start).astype(np.uint64))
+        """A 64-bit hash of each word, the same in every process: the sum over its bytes of the byte's number times its
+        place's. The places' numbers have nothing to do with one another, so that no words agree by construction, as
+        they do where the numbers are powers."""
+        if not len(self.start):
+            return np.empty(0, np.uint64)
+        inside = np.flatnonzero(~self.separator)
+        length = self.end - self.start
+        first = np.concatenate(([0], np.cumsum(length)[:-1]))
+        place = np.arange(len(inside)) - np.repeat(first, length)
+        parts = _byte_numbers()[self.buf[inside]] * _place_numbers(int(length.max()))[place]
+        return mix(np.add.reduceat(parts, first) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions (first word) and hashes of all runs of k words inside one text."""
@@ -204,8 +204,9 @@ class Table:
 class WordMemory:
     """What is made of each different word, remembered by a worker and laid out for whole runs of texts at once.
 
-    ``make`` gets new words and gives, for each word, the bytes of its items in each store. Words are known by a 64-bit hash. The memory
-    starts anew when it is full: that changes speed, never results.
+    ``make`` gets new words and gives, for each word, the bytes of its items in each store. The memory starts anew when
+    it is full: that changes speed, never results. Words are known by a 64-bit hash whose numbers have no structure: of
+    1.5 million words remembered at once two agree with a probability below 1e-7.
     """
 
     def __init__(self, make, kinds: tuple, words: int = 1_500_000, items: int = 20_000_000):

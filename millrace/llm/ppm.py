@@ -34,9 +34,9 @@ class PpmParams:
     #: Bytes of the longest context.
     order: int = 5
     #: Share of all training bytes from which a group's score is sent to every task; others are joined.
-    least: float = 2.0**-21
+    least: float = 2.0**-22
     #: Share of all training words from which a word's count is sent to every task; others are joined.
-    common_word: float = 2.0**-18
+    common_word: float = 2.0**-20
     #: Entries that a counting task holds before it hands them on.
     held: int = 3_000_000
 

@@ -7,6 +7,10 @@ force, large ones first lose whole groups of mutually similar sets and split fur
 own; their number follows from the recall asked for. What shared a bucket and looks alike by its tokens forms
 candidate groups, inside which every pair is verified on the exact sets.
 
+A bucket larger than a task is dealt in blocks, each with the same pivot set. If nearly all of its sets are in the
+pivot's group, the rest is compared with every block, and the bucket is done; otherwise all its sets go on to the
+children. On the last level what is still larger is compared block with block. No bucket is ever cut.
+
 Exact copies are one set throughout, and neither pairs nor copies are ever written out: a group of n texts costs n
 rows.
 """
@@ -42,8 +46,13 @@ class JoinParams:
     #: Least share of equal tokens (by one byte of each) of a candidate pair: a pair at the threshold of 0.8 has less
     #: than that once in two million times.
     alike: float = 0.62
-    #: Sets that a task compares at once. Larger buckets are compared block by block.
-    held: int = 16_384
+    #: Larger buckets are dealt in blocks: of half as many sets, of a 512th of the bucket if that is more (but ``widest`` at most).
+    held: int = 2_048
+    widest: int = 16_384
+    #: A bucket is done if its sets outside the pivot's group are at most so many blocks' worth.
+    rest_blocks: int = 4
+    #: Sets of a block where the last level compares block with block.
+    last_block: int = 8_192
     #: Texts and characters of a block in which pairs are verified.
     block: int = 1_024
     block_chars: int = 32 << 20
@@ -133,20 +142,40 @@ def alike_groups(sketch: np.ndarray, params: JoinParams, budget: float = math.in
     return root, root >= 0
 
 
-def runs_of(batches: Iterator[pa.RecordBatch], key: str, names: list[str], most: int | None = None) -> Iterator[tuple[int, list]]:
-    """Rows of equal key that follow one another, as lists of the named columns; cut after ``most`` rows."""
+def group_of(sketch: np.ndarray, seed: int, params: JoinParams, budget: float) -> np.ndarray:
+    """Which sets are connected with the seed; some may be left out when the budget (comparisons) is spent."""
+    least = params.alike * sketch.shape[1]
+    inside = np.zeros(len(sketch), dtype=bool)
+    inside[seed] = True
+    free = np.flatnonzero(~inside)
+    front = [seed]
+    while front and len(free) and budget > 0:
+        budget -= len(free)
+        near = (sketch[free] == sketch[front.pop()]).sum(1) >= least
+        inside[free[near]] = True
+        front.extend(free[near].tolist())
+        free = free[~near]
+    return inside
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> Iterator[tuple[int, list]]:
+    """Rows of equal key that follow one another, as lists of the named columns."""
     last, held = None, None
     for batch in batches:
         keys = batch.column(key).to_numpy(zero_copy_only=False)
         columns = [batch.column(c).to_pylist() for c in names]
         cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else [0]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if held is not None and (keys[a] != last or most and len(held[0]) >= most):
+            if held is not None and keys[a] != last:
                 yield last, held
                 held = None
             last = keys[a]
             part = [c[a:b] for c in columns]
-            held = part if held is None else [x + y for x, y in zip(held, part, strict=True)]
+            if held is None:
+                held = part
+            else:
+                for x, y in zip(held, part, strict=True):
+                    x.extend(y)
     if held is not None:
         yield last, held
 
@@ -222,7 +251,24 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
             row, child = children(node, tokens, params.picks_below)
             yield pa.RecordBatch.from_arrays([pa.array(unit[row]), pa.array(child.view(np.int64))], ["unit", "node"])
 
-    def compare(last: bool):
+    def compare(whole: bool):
+        """Buckets (whole: without a budget), and blocks of split ones, as rows (a, b, kind): links, or sets and nodes."""
+
+        def answer(unit: np.ndarray, own: np.ndarray, node: int, split: bool, pivot: list[bool]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+            if split:
+                at = pivot.index(True)
+                inside = group_of(own, at, params, 32.0 * len(unit))
+                others = np.arange(len(unit)) != at
+                for kind, chosen in ((LINK, inside & others), (WITH_PIVOT, inside & others), (REST, ~inside)):
+                    yield unit[chosen], np.full(int(chosen.sum()), unit[at] if kind == LINK else node), kind
+                return
+            all_pairs = whole or len(unit) <= params.small
+            root, reached = alike_groups(own, params, math.inf if all_pairs else 32.0 * len(unit))
+            joined = np.flatnonzero(reached & (root != np.arange(len(unit))))
+            yield unit[joined], unit[root[joined]], LINK
+            if not all_pairs:
+                yield unit[~reached], np.full(int((~reached).sum()), node), OPEN
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[list[np.ndarray]] = [[], [], []]
             size = 0
@@ -231,20 +277,14 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
                 columns = [np.concatenate(x) if x else np.empty(0, np.int64) for x in held]
                 for x in held:
                     x.clear()
-                return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2] == 1)], ["a", "b", "open"])
+                return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.int32())], ["a", "b", "kind"])
 
-            for node, (unit, sketch) in runs_of(batches, "node", ["unit", "sketch"], params.held):
-                unit = np.array(unit, dtype=np.int64)
-                if len(unit) < 2:
+            for _, (unit, sketch, node, split, pivot) in runs_of(batches, "deal", ["unit", "sketch", "node", "split", "pivot"]):
+                if len(unit) < 2 and not split[0]:
                     continue
+                unit = np.array(unit, dtype=np.int64)
                 own = np.frombuffer(b"".join(sketch), dtype=np.uint8).reshape(len(unit), -1)
-                whole = last or len(unit) <= params.small
-                root, reached = alike_groups(own, params, math.inf if whole else 32.0 * len(unit))
-                joined = np.flatnonzero(reached & (root != np.arange(len(unit))))
-                open_ = np.flatnonzero(~reached) if len(unit) < params.held else np.arange(len(unit))
-                if whole:
-                    open_ = open_[:0]
-                for x, y, kind in ((unit[joined], unit[root[joined]], 0), (unit[open_], np.full(len(open_), node), 1)):
+                for x, y, kind in answer(unit, own, node[0], split[0], pivot):
                     held[0].append(x)
                     held[1].append(y)
                     held[2].append(np.full(len(x), kind))
@@ -263,29 +303,49 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array([r.tobytes() for r in made], pa.binary())], ["unit", "sketch"])
 
     sketched = units.mapInArrow(lean(sketches), "unit long, sketch binary")
+    plain = (F.lit(False).alias("split"), F.lit(False).alias("pivot"))
+
+    def compared(dealt: DataFrame, few: bool, whole: bool) -> DataFrame:
+        ready = (F.broadcast(dealt) if few else dealt).join(sketched, "unit").repartition("deal").sortWithinPartitions("deal", "unit")
+        return materialize(ready.mapInArrow(lean(compare(whole)), "a long, b long, kind int"), "compared")
+
     rows = units.mapInArrow(lean(start), "unit long, node long")
     found = []
     for level in range(params.depth + 1):
-        last = level == params.depth
         rows = materialize(rows, "nodes")
         sizes = materialize(buckets(rows), "buckets")
         # buckets of the same sets count once
-        kept = sizes.groupBy("n", "sign", "low").agg(F.min("node").alias("node")).select("node", "n")
-        dealt, n_dealt = rows.join(kept, "node"), kept.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        if last:  # blocks in pairs: an exact way for what is still larger than a task holds
-            blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / (params.held // 2))).cast("int")
-            own = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
-            dealt = dealt.withColumn("blocks", blocks).withColumn("own", own)
-            other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            key = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-            dealt = other.select("unit", F.when(F.col("blocks") == 1, F.col("node")).otherwise(key).alias("node"))
-        dealt = dealt.select("unit", "node")
-        few = F.broadcast(dealt) if not last and n_dealt <= params.broadcast_rows else dealt
-        ready = few.join(sketched, "unit").repartition("node").sortWithinPartitions("node", "unit")
-        edges = materialize(ready.mapInArrow(lean(compare(last)), "a long, b long, open boolean"), "compared")
-        found.append(edges.where("not open").select("a", "b"))
-        left = edges.where("open").select(F.col("a").alias("unit"), F.col("b").alias("node"))
-        n_left = 0 if last else left.count()
+        kept = sizes.groupBy("n", "sign", "low").agg(F.min("node").alias("node"))
+        kept = kept.select("node", "n", "low", blocks_of(F.col("n"), params).alias("blocks"))
+        dealt = rows.join(kept, "node")
+        if level == params.depth:
+            found.append(compared(block_pairs(dealt, params).select("unit", "deal", "node", *plain), False, True).where(F.col("kind") == LINK).select("a", "b"))
+            break
+        totals = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("blocks") > 1).alias("split")).first()
+        own = F.when(F.col("blocks") == 1, F.col("node")).otherwise(block_key(F.col("node"), own_block(F.col("unit"), F.col("blocks"))))
+        split = F.col("blocks") > 1
+        dealt = dealt.where(~split | (F.col("unit") != F.col("low"))).select("unit", own.alias("deal"), "node", split.alias("split"), F.lit(False).alias("pivot"))
+        if totals["split"]:
+            every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+            pivots = kept.where(split).select(F.col("low").alias("unit"), "node", every)
+            dealt = dealt.union(pivots.select("unit", block_key(F.col("node"), F.col("block")), "node", F.lit(True), F.lit(True)))
+        edges = compared(dealt, totals["n"] <= params.broadcast_rows, False)
+        found.append(edges.where(F.col("kind") == LINK).select("a", "b"))
+        left = edges.where(F.col("kind") == OPEN).select(F.col("a").alias("unit"), F.col("b").alias("node"))
+        if totals["split"]:
+            member = edges.where(F.col("kind").isin(WITH_PIVOT, REST)).select(F.col("a").alias("unit"), F.col("b").alias("node"), (F.col("kind") == REST).alias("rest"))
+            rest = member.groupBy("node").agg(F.count_if("rest").alias("n_rest"))
+            ended = kept.join(rest, "node").withColumn("done", F.col("n_rest") * F.col("blocks") <= params.rest_blocks * F.col("n"))
+            ended = materialize(ended.select("node", "low", "blocks", "done"), "ended")
+            member = member.join(ended, "node")
+            # a bucket that is done: its pivot's group block by block, each with all of the rest
+            block = F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own_block(F.col("unit"), F.col("blocks")))))
+            last = member.where("done").select("unit", "node", block.alias("block"))
+            last = last.select("unit", block_key(F.col("node"), F.col("block")).alias("deal"), "node", *plain)
+            found.append(compared(last, False, True).where(F.col("kind") == LINK).select("a", "b"))
+            going = ended.where("not done")
+            left = left.union(member.where("not done").select("unit", "node")).union(going.select(F.col("low").alias("unit"), "node"))
+        n_left = left.count()
         if not n_left:
             break
         rows = (F.broadcast(left) if n_left <= params.broadcast_rows else left).join(units, "unit").select("unit", "node", "tokens").mapInArrow(lean(descend), "unit long, node long")
@@ -295,6 +355,33 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
     return out
 
 
+#: What a row of a comparison says: two linked sets, a set that goes on, one of the pivot's group, one outside it.
+LINK, OPEN, WITH_PIVOT, REST = range(4)
+
+
+def blocks_of(n: F.Column, params: JoinParams) -> F.Column:
+    """Blocks in which a bucket of n sets is dealt; 1 if it isn't."""
+    block = F.least(F.greatest(F.lit(params.held // 2), F.ceil(n / 512)), F.lit(params.widest))
+    return F.when(n > params.held, F.ceil(n / block)).otherwise(F.lit(1)).cast("int")
+
+
+def own_block(unit: F.Column, blocks: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64(unit), blocks).cast("int")
+
+
+def block_key(node: F.Column, *blocks: F.Column) -> F.Column:
+    return F.xxhash64(node, *blocks)
+
+
+def block_pairs(dealt: DataFrame, params: JoinParams) -> DataFrame:
+    """(unit, node, deal): each set with those of every block of its bucket, its own included."""
+    blocks = F.ceil(F.col("n") / params.last_block).cast("int")
+    pairs = dealt.select("unit", "node", blocks.alias("blocks"))
+    pairs = pairs.withColumn("own", own_block(F.col("unit"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = block_key(F.col("node"), F.least("own", "other"), F.greatest("own", "other"))
+    return pairs.select("unit", "node", F.when(F.col("blocks") == 1, F.col("node")).otherwise(key).alias("deal"))
+
+
 def set_of(text: bytes, k: int) -> np.ndarray:
     return np.unique(shingles(Words([text]), k)[1])
 
@@ -368,7 +455,8 @@ def verify(texts: DataFrame, params: JoinParams) -> DataFrame:
 
 
 def classes(docs: DataFrame, params: JoinParams = JoinParams(), text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, texts): doc_id and text_key of every row; class_id, n_links and n_copies of every text_key."""
+    """(rows, texts): doc_id and text_key of every row; class_id, n_links and n_copies of every text_key, and the id and
+    text that stay if one row of its class is to (the least id, of equals the least text; null last)."""
     bounded_batches(docs.sparkSession)
     keyed = with_key(docs, text)
     rows = materialize(embed(keyed, params), "sets")
@@ -394,11 +482,16 @@ def classes(docs: DataFrame, params: JoinParams = JoinParams(), text: str = "tex
     apart = checked.where("not final and root <> unit").select(F.col("unit").alias("a"), F.col("root").alias("b"))
     if not apart.isEmpty():
         final = final.union(components(apart).select(F.col("a").alias("unit"), "root"))
-    member = final.join(named.select("unit", "first_doc"), "unit")
-    least = member.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    found = final.join(least, "root").select("unit", "class_id")
+    member = final.join(named.select("unit", "first_doc", "text_key"), "unit")
+    one = F.struct(F.col("first_doc").isNull().alias("none"), "first_doc", "text_key")
+    least = member.groupBy("root").agg(F.min("first_doc").alias("class_id"), F.min(one).alias("stays"))
+    found = final.join(least, "root").select("unit", "class_id", "stays")
     joined = units.select("unit", "text_key", "first_doc", "n_copies").join(found, "unit", "left").join(links, "unit", "left")
-    texts = joined.select("text_key", F.coalesce("class_id", "first_doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies")
+    alone = F.col("stays").isNull()
+    texts = joined.select(
+        "text_key", F.when(alone, F.col("first_doc")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies",
+        F.when(alone, F.col("first_doc")).otherwise(F.col("stays.first_doc")).alias("stays_id"), F.when(alone, F.col("text_key")).otherwise(F.col("stays.text_key")).alias("stays_key"),
+    )
     return rows.select("doc_id", "text_key"), texts
 
 
@@ -416,17 +509,24 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams(), text: st
 
 
 def drop_near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
-    """The row of the least doc_id of each class, with all columns of ``docs``."""
+    """One row of each class, with all columns of ``docs``: that of the least doc_id, a null one only if there is no other;
+    of different texts of one id the text of the least md5.
+
+    A null text counts as empty, and all rows without words but equal texts are one class. Of rows that share both id and
+    text any one stays. Extra columns are kept whatever their names. An empty table gives an empty one.
+    """
     rows, texts = classes(docs, params)
     joined = rows.join(texts, "text_key")
-    leaving = joined.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.col("text_key") == F.col("stays_key"))
+    leaving = joined.where(~stays).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).distinct()
     leaving = materialize(leaving, "leaving")
     small = leaving.count() <= 5 * params.broadcast_rows
     keyed = docs.withColumn("__own", F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))))
     fits = keyed["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (keyed["__own"] == F.col("__k"))
     left = keyed.join(F.broadcast(leaving) if small else leaving, fits, "left_anti")
     # rows of one id and one text can't be told apart by the join: all but one of them go
-    again = materialize(joined.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")), "again")
+    again = joined.where(stays).groupBy("doc_id", "text_key").count().where("count > 1")
+    again = materialize(again.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")), "again")
     if again.isEmpty():
         return left.select(*docs.columns)
     fits = left["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (left["__own"] == F.col("__k"))

@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from millrace.llm.jaccard import JoinParams, alike_groups, components, drop_near_duplicates, linked, near_duplicates, sets_of
+from millrace.llm import jaccard
+from millrace.llm.jaccard import JoinParams, alike_groups, components, drop_near_duplicates, group_of, linked, near_duplicates, sets_of
 
 from .helpers import NASTY, nasty, none
 
@@ -71,7 +72,7 @@ def test_matches_brute_force(spark):
 
 def test_small_buckets_blocks_and_depth(spark):
     # everything is a large bucket, compared in blocks, verified in blocks, and joined without a broadcast
-    params = JoinParams(small=3, held=8, block=4, depth=1, broadcast_rows=0)
+    params = JoinParams(small=3, held=8, widest=8, last_block=4, block=4, depth=1, broadcast_rows=0)
     got, wanted = run(spark, corpus(2, groups=5, size=14), params)
     assert got == wanted
 
@@ -85,6 +86,53 @@ def test_one_hot_group_of_near_copies(spark):
     assert max(r[2] for r in wanted) >= 399
 
 
+def tiny_batches(spark, monkeypatch, rows=8):
+    """Buckets come in many Arrow batches."""
+
+    def set_rows(session):
+        session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+    monkeypatch.setattr(jaccard, "bounded_batches", set_rows)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4])
+def test_large_buckets_over_many_batches_lose_no_link(spark, monkeypatch, depth):
+    # all share a passage, so they stand in the same buckets; each has one twin of nearly the same words, somewhere
+    tiny_batches(spark, monkeypatch)
+    rng = random.Random(depth)
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for i in range(150):
+        own = [f"o{i}x{k}" for k in range(50)]
+        texts += [" ".join(own + passage), " ".join(own[:-1] + passage) + "  "]
+    rng.shuffle(texts)
+    params = JoinParams(small=4, held=64, widest=64, last_block=32, depth=depth, broadcast_rows=depth)
+    got, wanted = run(spark, list(enumerate(texts)), params)
+    assert got == wanted
+    assert all(r[2] == 1 for r in wanted)
+
+
+@pytest.mark.parametrize("strangers", [0, 30, 200])
+def test_a_bucket_of_near_copies_and_others(spark, monkeypatch, strangers):
+    # the pivot's group is nearly all of a bucket, or only a part of it
+    tiny_batches(spark, monkeypatch)
+    rng = random.Random(strangers)
+    base = [f"w{k}" for k in range(120)]
+    texts = [edited(rng, base, 1) for _ in range(200)]
+    for i in range(strangers // 2):
+        own = [f"s{i}x{k}" for k in range(100)]
+        texts += [" ".join(own + base), " ".join(own + base[1:])]
+    rng.shuffle(texts)
+    got, wanted = run(spark, list(enumerate(texts)), JoinParams(small=4, held=32, widest=32, last_block=32))
+    assert got == wanted
+
+
+def test_group_of_the_pivot():
+    sketch = np.repeat(np.arange(4, dtype=np.uint8)[:, None], 16, axis=1)[[0, 1, 0, 2, 0]]
+    assert group_of(sketch, 2, JoinParams(), 1e9).tolist() == [True, False, True, False, True]
+    assert group_of(sketch, 2, JoinParams(), 0).tolist() == [False, False, True, False, False]
+
+
 def test_nasty_rows(spark):
     order = lambda r: (r[0] is None, r[0] or 0, r[3])
     got = sorted(map(tuple, near_duplicates(nasty(spark)).collect()), key=order)
@@ -101,6 +149,17 @@ def test_one_row_of_each_class_stays(spark):
     assert drop_near_duplicates(none(spark)).collect() == []
 
 
+def test_one_row_stays_where_ids_are_repeated_or_null(spark):
+    base = [f"w{k}" for k in range(100)]
+    a, b, c = " ".join(base), " ".join(base[1:]), " ".join(base[2:])
+    # one class of two rows of id 5, one class without any id, one with an id beside null, one of equal rows
+    rows = [(5, a), (5, b), (None, "x " + a.replace("w", "v")), (None, a.replace("w", "v")), (None, a.replace("w", "u")), (9, b.replace("w", "u")), (3, c.replace("w", "t")), (3, c.replace("w", "t"))]
+    kept = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == 4
+    assert sorted(d is None for d, _ in kept) == [False, False, False, True]
+    assert {d for d, _ in kept} == {5, None, 9, 3}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_exact_links(seed):
     rng = random.Random(seed)

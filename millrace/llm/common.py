@@ -9,13 +9,13 @@ from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
 from ..sources.scratch import materialize, scratch, shared_dir
 
-__all__ = ["Table", "WordMemory", "Words", "bounded_batches", "byte_table", "crc_mod", "lean", "materialize", "mix", "scratch", "shared_dir", "slices", "texts_of"]
+__all__ = ["Table", "WordMemory", "Words", "bounded_batches", "byte_table", "crc_mod", "lean", "materialize", "mix", "scratch", "shared_dir", "slices", "smallest_hashes", "texts_of"]
 
 #: Bytes of text that one numpy step works on; bounds a worker's memory whatever the documents' lengths.
 SLICE_BYTES = 1 << 20
@@ -52,6 +52,18 @@ def crc_mod(col, n: int):
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def smallest_hashes(df: DataFrame, key: str, n: int, most: int) -> DataFrame:
+    """The ``most`` rows of the smallest hashes of a key that no two rows share; ``n``: about how many rows there are.
+
+    A threshold leaves little more than ``most`` rows before they are put in order, so no partition sends more than its share.
+    """
+    hashed = F.xxhash64(key)
+    if n > most:
+        share = (most + 6 * most**0.5) * 1.1 / n
+        df = df.where(hashed <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
+    return df.orderBy(hashed, key).limit(most)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -9,9 +9,11 @@ logistic function are learned from labelled rows; entries can be given as well.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_mod, lean, materialize
+from .common import bounded_batches, crc_mod, lean, materialize, slices, smallest_hashes, texts_of
 
 # Letters of other scripts and signs that look like a Latin letter.
 LOOKALIKES = {
@@ -42,7 +44,7 @@ def fold(text: str) -> str:
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    #: The classifier is fitted on at most this many labelled rows, those of the smallest hashes.
+    #: The classifier is fitted on at most this many labelled ids, those of the smallest hashes.
     fit_rows: int = 30_000
     shortest: int = 4
     longest: int = 9
@@ -53,7 +55,9 @@ class ToxicityParams:
     min_evidence: float = 14.0
     #: Least log odds ratio of an entry.
     min_weight: float = 2.5
+    #: Bounds of the lexicon: learned entries, those of the greatest weight and number; learned exceptions, the most frequent.
     max_entries: int = 5_000
+    max_exceptions: int = 5_000
     threshold: float = 0.7
     #: Entries and exceptions besides the learned ones.
     entries: tuple[tuple[str, float], ...] = ()
@@ -92,9 +96,16 @@ def matches(folded: str, built: ahocorasick.Automaton) -> list[tuple[int, int, f
             spared.append((start, end))
         elif start not in found or found[start][1] < end:
             found[start] = (start, end, weight, pattern)
-    if spared:
-        found = {k: m for k, m in found.items() if not any(a <= m[0] and m[0] + len(m[3].rstrip()) - 1 <= b for a, b in spared)}
-    return list(found.values())
+    if not spared:
+        return list(found.values())
+    spared.sort()
+    starts, furthest = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+
+    def inside(m: tuple[int, int, float, str]) -> bool:
+        before = bisect_right(starts, m[0])
+        return before > 0 and furthest[before - 1] >= m[0] + len(m[3].rstrip()) - 1
+
+    return [m for m in found.values() if not inside(m)]
 
 
 def features(text: str, built: ahocorasick.Automaton) -> tuple[float, float, float, float]:
@@ -176,7 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     bounded_batches(spark)
     train = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), 3) != 1))
     train = train.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("__y"))
-    train = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.fit_rows)
+    train = smallest_hashes(train, "doc_id", train.count(), params.fit_rows)
     sample = docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(train), "doc_id").select("__y", "__text")
     sample = materialize(sample, "toxicity")
     # copies of one text count once, so they don't make an entry
@@ -187,10 +198,10 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (Counter(), Counter())
         for batch in batches:
-            for y, text in zip(batch.column("__y").to_pylist(), batch.column("__text").to_pylist(), strict=True):
-                held[y == 1].update(terms(text or "", params))
-            if len(held[0]) + len(held[1]) > 500_000:
-                yield pack(held)
+            for y, text in zip(batch.column("__y").to_pylist(), texts_of(batch.column("__text")), strict=True):
+                held[y == 1].update(terms(text.decode(), params))
+                if len(held[0]) + len(held[1]) > 500_000:
+                    yield pack(held)
         yield pack(held)
 
     def pack(held: tuple[Counter, Counter]) -> pa.RecordBatch:
@@ -202,25 +213,29 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
         held[1].clear()
         return out
 
-    # a term of the fitted rows can matter only if min_rows of them have it: what comes to the driver is bounded by fit_rows
-    counts = (
-        once.mapInArrow(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    )
-    strong = counts.where((F.col("toxic") >= params.min_rows) & (F.col("toxic") > 2 * F.col("clean")))
-    weak = counts.where((F.col("clean") >= 3) & F.col("term").endswith(" ") & (F.col("toxic") * (sizes.get(False, 0) + 1) < F.col("clean") * (sizes.get(True, 0) + 1)))
-    counts = materialize(strong, "toxicity-terms")
+    counts = once.mapInArrow(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
+    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+    strong = (F.col("toxic") >= params.min_rows) & (F.col("toxic") > 2 * F.col("clean")) & (F.col("odds") >= params.min_weight - 1e-6)
+    weak = (F.col("clean") >= 3) & F.col("term").endswith(" ") & (F.col("odds") < 0)
+    counts = materialize(counts.withColumn("odds", odds).where(strong | weak), "toxicity-terms")
+    # what comes to the driver is bounded by the fitted rows, and by the bounds of the lexicon
     order = F.col("toxic").desc(), "term"
-    lexicon = choose([tuple(r) for r in counts.orderBy(*order).limit(20 * params.max_entries).collect()], sizes.get(True, 0), sizes.get(False, 0), params)
-    stems = [t for t in lexicon.weights if not t.endswith(" ")]
+    lexicon = choose([tuple(r) for r in counts.where(strong).orderBy(*order).select("term", "toxic", "clean").limit(20 * params.max_entries).collect()], n_toxic, n_clean, params)
+    stems: dict[int, list[str]] = {}
+    for t in sorted(t for t in lexicon.weights if not t.endswith(" ")):
+        stems.setdefault(len(t), []).append(t)
     if stems:
-        starts = F.array(*(F.lit(t) for t in sorted({t[: params.shortest + 1] for t in stems})))
-        near = weak.where(F.array_contains(starts, F.substring("term", 1, params.shortest + 1))).select("term").limit(params.max_entries).collect()
-        lexicon.exceptions += sorted(r["term"] for r in near if r["term"].startswith(tuple(stems)))
+        begins = F.lit(False)
+        for n, some in stems.items():
+            begins |= F.substring("term", 1, n).isin(some)
+        near = counts.where(weak & begins).orderBy(F.col("clean").desc(), "term").select("term").limit(params.max_exceptions)
+        lexicon.exceptions += sorted(r["term"] for r in near.collect())
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = lexicon.automaton()
         for batch in batches:
-            rows = np.array([features(t or "", built) for t in batch.column("__text").to_pylist()]).reshape(-1, 4)
+            rows = np.array([features(t.decode(), built) for t in texts_of(batch.column("__text"))]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(batch.column("__y"), pa.int32()), *(pa.array(rows[:, k]) for k in range(4))], ["y", "a", "b", "c", "d"])
 
     rows = np.array(sample.mapInArrow(lean(measure), "y int, a double, b double, c double, d double").collect(), dtype=float).reshape(-1, 5)
@@ -241,17 +256,19 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...] = ("doc_id",)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = lexicon.automaton()
         for batch in batches:
-            scores, numbers, entries = [], [], []
-            for t in batch.column("__text").to_pylist():
-                found = matches(folded := fold(t or ""), built)
-                names = sorted({m[3].strip() for m in found})
-                scores.append(squash(lexicon.logistic, measures(found, folded)))
-                numbers.append(len(found))
-                entries.append(names)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(numbers, pa.int64()), pa.array(entries, pa.list_(pa.string()))],
-                [*keep, "score", "predicted", "n_matches", "entries"],
-            )
+            texts = texts_of(batch.column("__text"))
+            for i, j in slices(texts):
+                scores, numbers, entries = [], [], []
+                for t in texts[i:j]:
+                    found = matches(folded := fold(t.decode()), built)
+                    scores.append(squash(lexicon.logistic, measures(found, folded)))
+                    numbers.append(len(found))
+                    entries.append(sorted({m[3].strip() for m in found}))
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in keep), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(numbers, pa.int64()), pa.array(entries, pa.list_(pa.string()))],
+                    [*keep, "score", "predicted", "n_matches", "entries"],
+                )
 
     return kept.mapInArrow(lean(run), schema)
 
@@ -267,13 +284,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxici
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic, with all their columns."""
+    """The rows of ``docs`` that aren't predicted toxic, with all their columns, whatever the names of extra ones.
+
+    A null or empty text counts as one without matches; repeated rows stay or go together; an empty table gives an empty
+    one. Without labels of both kinds the lexicon has the given entries only.
+    """
     lexicon = learn(docs, labels, params)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = lexicon.automaton()
         for batch in batches:
-            good = [squash(lexicon.logistic, features(t or "", built)) < params.threshold for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            texts = texts_of(batch.column("text"))
+            for i, j in slices(texts):
+                good = [squash(lexicon.logistic, features(t.decode(), built)) < params.threshold for t in texts[i:j]]
+                yield batch.slice(i, j - i).filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(lean(run), docs.schema)

@@ -52,16 +52,17 @@ def crc_mod(col, n: int):
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def smallest_hashes(df: DataFrame, key: str, n: int, most: int) -> DataFrame:
-    """The ``most`` rows of the smallest hashes of a key that no two rows share; ``n``: about how many rows there are.
+def smallest_hashes(df: DataFrame, key: str, n: int, most: int, distinct: bool = False) -> DataFrame:
+    """The ``most`` rows of the smallest hashes of a key; ``n``: how many different keys there are, to a tenth.
 
-    A threshold leaves little more than ``most`` rows before they are put in order, so no partition sends more than its share.
+    A threshold leaves little more than ``most`` keys before rows are put in order, so no partition sends more than its
+    share. Rows are different ones, or made so by ``distinct``: all copies of a key lie on one side of the threshold.
     """
     hashed = F.xxhash64(key)
-    if n > most:
+    if 1.1 * n > most:
         share = (most + 6 * most**0.5) * 1.1 / n
         df = df.where(hashed <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
-    return df.orderBy(hashed, key).limit(most)
+    return (df.distinct() if distinct else df).orderBy(hashed, key).limit(most)
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

@@ -7,6 +7,7 @@ the fit needs a bounded sample only; every URL is then scored where it lies.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean
+from .common import bounded_batches, lean, smallest_hashes
 
 #: (host and path prefix, verdict): the production rules (fixed by the contract).
 RULES: tuple[tuple[str, str], ...] = (
@@ -29,7 +30,7 @@ RULES: tuple[tuple[str, str], ...] = (
 
 @dataclass(frozen=True)
 class GbtParams:
-    #: The trees are fitted on at most this many labelled URLs, those of the smallest hashes.
+    #: The trees are fitted on at most this many different labelled URLs, those of the smallest hashes.
     fit_rows: int = 20_000
     trees: int = 40
     depth: int = 4
@@ -63,6 +64,8 @@ def rule_column(rules: tuple[tuple[str, str], ...] = RULES) -> F.Column:
 #: Features of one URL, in this order; suffix statistics follow.
 FEATURES = ("length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "query_length", "dots", "hyphens", "longest_digits", "fragment", "https", "extension")
 
+DIGITS = re.compile(r"[0-9]+")
+
 
 def lexical(url: str, host: str, path: str) -> list[float]:
     n = len(url)
@@ -72,10 +75,7 @@ def lexical(url: str, host: str, path: str) -> list[float]:
         p = url.count(c) / n
         entropy -= p * math.log2(p)
     query = url.partition("#")[0].partition("?")[2]
-    run = longest = 0
-    for c in url:
-        run = run + 1 if "0" <= c <= "9" else 0
-        longest = max(longest, run)
+    longest = max(map(len, DIGITS.findall(url)), default=0)
     depth = sum(1 for x in path.split("/") if x)
     return [n, len(host), len(path), depth, digits / max(n, 1), entropy, query.count("=") + query.count("&") if query else 0, len(query), host.count("."), url.count("-"), longest, "#" in url, url[:8].lower() == "https://", "." in path.rpartition("/")[2]]
 
@@ -190,14 +190,16 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, pa
     """Columns ``keep``, host, path, rule, verdict and block_score (the trees') for every row.
 
     A null URL has empty host and path, fits no rule and is judged by the trees like an empty one. Without any
-    labelled URL the trees allow everything. Repeated rows get equal verdicts; other columns aren't read.
+    labelled URL the trees allow everything. Repeated rows get equal verdicts, and copies of a URL count once in the fit;
+    other columns aren't read.
     """
     bounded_batches(pages.sparkSession)
     parts = with_parts(pages.select(*(pages[c] for c in keep), pages[url].alias("__url")), "__url").withColumn("rule", rule_column(rules))
     blocked = [r for r, v in rules if v == "block"]
     labelled = parts.where(F.col("rule").isNotNull()).select(F.col("__url"), "host", "path", F.col("rule").isin(blocked).cast("int").alias("y"))
-    rows = [tuple(r) for r in labelled.orderBy(F.xxhash64("__url"), "__url").limit(params.fit_rows).collect()]
-    model = learn(rows, params)
+    different = labelled.agg(F.approx_count_distinct("__url", 0.02)).first()[0]
+    sample = smallest_hashes(labelled, "__url", different, params.fit_rows, distinct=True)
+    model = learn([tuple(r) for r in sample.collect()], params)
     fields = {f.name: f.dataType.simpleString() for f in parts.schema.fields}
     schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "host string, path string, rule string, verdict string, block_score double"])
     verdicts = dict(rules)

@@ -70,3 +70,88 @@ def test_method_generalises_from_the_rules(spark):
 def test_lexical_features():
     f = dict(zip(("length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters"), lexical("http://a.b/c/d1?x=1&y=2#z", "a.b", "/c/d1"), strict=False))
     assert (f["length"], f["host_length"], f["depth"], f["parameters"]) == (25, 3, 2, 3)
+
+
+def test_copies_of_a_url_do_not_fill_the_fit(spark, monkeypatch):
+    from millrace.llm import urls
+
+    seen = []
+    monkeypatch.setattr(urls, "learn", lambda rows, params, real=urls.learn: seen.append(rows) or real(rows, params))
+    rows = [(i, "http://hot.org/en/1") for i in range(3_000)] + [(3_000 + i, f"http://site{i}.{'org' if i % 2 else 'com'}/{'x' if i % 2 else 'de'}/{i}") for i in range(900)]
+    got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), params=GbtParams(fit_rows=300)).collect()
+    assert len(got) == len(rows)
+    (fitted,) = seen
+    assert len(fitted) == len({r[0] for r in fitted}) == 300
+    assert {r[3] for r in fitted} == {0, 1}
+
+
+def test_held_out_urls_of_the_rules(spark):
+    from millrace.llm.urls import learn, vector
+
+    rng = random.Random(7)
+    rows = []
+    for _ in range(3_000):
+        tld, seg = rng.choice(["org", "com"]), rng.choice(["de", "fr"])
+        url = f"https://{rng.choice(['www', 'news', 'shop'])}.site{rng.randrange(400)}.{tld}/{seg}/{rng.randrange(99_999)}"
+        host, path, rule = brute(url)
+        if rule:
+            rows.append((url, host, path, int(dict(RULES)[rule] == "block")))
+    model, tables, prior = learn(rows[:1_500])
+    x = np.array([vector(u, h, p, tables, prior) for u, h, p, _ in rows[1_500:]])
+    assert ((model.predict(x) >= 0.5) == [r[3] for r in rows[1_500:]]).mean() > 0.98
+
+
+def brute_trees(x, y, params):
+    """Boosting by trying each edge of each feature at each node, on lists."""
+    share = min(max(sum(y) / len(y), 1e-3), 1 - 1e-3)
+    z = [np.log(share / (1 - share))] * len(y)
+    edges = [sorted(set(np.quantile([r[k] for r in x], np.linspace(0, 1, params.bins + 1)[1:-1]).tolist())) for k in range(len(x[0]))]
+
+    def grow(members, g, h, depth):
+        value = sum(g[i] for i in members) / (sum(h[i] for i in members) + params.l2)
+        if depth == params.depth:
+            return value
+        best, cut = 1e-6, None
+        score = lambda m: sum(g[i] for i in m) ** 2 / (sum(h[i] for i in m) + params.l2)
+        for k, own in enumerate(edges):
+            for e in own:
+                left, right = [i for i in members if x[i][k] < e], [i for i in members if x[i][k] >= e]
+                if min(len(left), len(right)) >= params.least and score(left) + score(right) - score(members) > best + 1e-12:
+                    best, cut = score(left) + score(right) - score(members), (k, e, left, right)
+        return value if cut is None else (cut[0], cut[1], grow(cut[2], g, h, depth + 1), grow(cut[3], g, h, depth + 1))
+
+    def value_of(tree, row):
+        while isinstance(tree, tuple):
+            tree = tree[2] if row[tree[0]] < tree[1] else tree[3]
+        return tree
+
+    for _ in range(params.trees):
+        q = [1 / (1 + np.exp(-v)) for v in z]
+        tree = grow(list(range(len(y))), [a - b for a, b in zip(y, q, strict=True)], [b * (1 - b) for b in q], 0)
+        z = [v + params.rate * value_of(tree, r) for v, r in zip(z, x, strict=True)]
+    return [1 / (1 + np.exp(-v)) for v in z]
+
+
+def test_trees_match_brute_force():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(160, 3)), 2)
+    y = ((x[:, 0] + 0.7 * x[:, 1] * x[:, 2] + 0.3 * rng.normal(size=160)) > 0).astype(float)
+    params = GbtParams(trees=6, depth=2, bins=8, least=4)  # deeper ones meet splits of equal gain
+    assert np.allclose(Trees(params).fit(x, y).predict(x), brute_trees(x.tolist(), y.tolist(), params))
+
+
+def test_suffix_statistics_match_brute_force():
+    from millrace.llm.urls import suffix_rates, vector
+
+    rows = [("a.b.org", "/en/1", 1), ("a.org", "/en", 0), ("b.com", "/en/2", 1), ("a.b.org", "/fr/", 0), ("", "", 1)]
+    tables = suffix_rates(rows)
+    for u, h, p, own in [("http://a.b.org/en/1", "a.b.org", "/en/1", 1), ("http://new.net/x", "new.net", "/x", None)]:
+        got = vector(u, h, p, tables, 0.6, own)[-6:]
+        last, first = h.split(".")[-1], h.split(".")[0]
+        segment = lambda path: path[1:].split("/")[0] if "/" in path[1:] else ""
+        for k, same in enumerate((lambda r: r[0].split(".")[-1] == last, lambda r: (r[0].split(".")[-1], segment(r[1])) == (last, segment(p)), lambda r: r[0].split(".")[0] == first)):
+            hits = [r[2] for r in rows if same(r)]
+            n, blocked = len(hits), sum(hits)
+            if own is not None:
+                n, blocked = n - 1, blocked - own
+            assert np.allclose(got[2 * k : 2 * k + 2], [(blocked + 3.0) / (n + 5), np.log1p(n)])

@@ -158,6 +158,9 @@ def read_index(content: bytes) -> tuple[dict, dict[str, np.ndarray]]:
 SPLIT = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 PIECES = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 OTHER_SPACE = regex.compile(r"\s")
+INNER_SPACE = regex.compile(r"[^\S\n]")
+#: Pieces that a worker remembers besides its runs. It changes speed, never results.
+MOST_PIECES = 300_000
 
 
 def default_tokenizer() -> str:
@@ -187,6 +190,7 @@ class WordTokens:
         #: The split below is that of this pre-tokenizer and of no other.
         self.splits = spec["model"].get("end_of_word_suffix") == "</w>" and SPLIT in json.dumps(spec["pre_tokenizer"], ensure_ascii=False)
         self.memory = WordMemory(self.runs, (np.uint32,))
+        self.known: dict[str, bytes] = {}
 
     def one_by_one(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -203,8 +207,33 @@ class WordTokens:
             return None
         return PIECES.findall(low)
 
-    def pieces(self, new: list[str]) -> dict[str, bytes]:
-        found: dict[str, bytes] = {}
+    def split_all(self, new: list[bytes]) -> list[list[str] | None]:
+        """``split`` of each run; runs that are plain when taken together are lower-cased in one step."""
+        parts: list[list[str] | None] = [None] * len(new)
+        if not self.splits:
+            return parts
+        joined = b"\n".join(new)
+        special = any(t in joined for t in self.specials)
+        easy = [i for i, w in enumerate(new) if b"'" not in w and not (special and any(t in w for t in self.specials))]
+        text = "\n".join([new[i].decode() for i in easy]) if len(easy) < len(new) else joined.decode()
+        low = text.lower()
+        plain = text.isascii() or (
+            len(low) == len(text) and "\u03a3" not in text and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) and not INNER_SPACE.search(text)
+        )
+        if not plain:
+            for i in easy:
+                parts[i] = self.split(new[i])
+        elif easy:
+            for i, w in zip(easy, low.split("\n"), strict=True):
+                parts[i] = [w] if w.isalpha() else PIECES.findall(w)
+        return parts
+
+    def pieces(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of pieces, at least of those wanted; some are remembered from run to run."""
+        if len(self.known) > MOST_PIECES:
+            self.known.clear()
+        known = self.known
+        new = [p for p in wanted if p not in known]
         for at in range(0, len(new), 2_000):
             part = new[at : at + 2_000]
             ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -212,18 +241,18 @@ class WordTokens:
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 raw, last = ids.tobytes(), 0
                 for p, cut in zip(part, (4 * cuts).tolist(), strict=True):
-                    found[p] = raw[last:cut]
+                    known[p] = raw[last:cut]
                     last = cut
             else:
-                found.update(zip(part, self.one_by_one(part), strict=True))
-        return found
+                known.update(zip(part, self.one_by_one(part), strict=True))
+        return known
 
     def runs(self, new: list[bytes]) -> list[tuple[bytes]]:
         """Ids of each new run."""
-        parts = [self.split(w) for w in new]
-        pieces = self.pieces(list({p for ps in parts if ps for p in ps}))
+        parts = self.split_all(new)
+        pieces = self.pieces({p for ps in parts if ps for p in ps})
         hard = iter(self.one_by_one([w.decode() for w, ps in zip(new, parts, strict=True) if ps is None]))
-        return [(next(hard) if ps is None else b"".join([pieces[p] for p in ps]),) for ps in parts]
+        return [(next(hard),) if ps is None else (pieces[ps[0]],) if len(ps) == 1 else (b"".join([pieces[p] for p in ps]),) for ps in parts]
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of texts: the ids of them all, and how many each text has."""

@@ -4,9 +4,12 @@ A file holds the ids of consecutive documents. All its blocks share one frequenc
 by LANES interleaved coders, and its final states, its place in the word stream and a checksum of its ids are in the
 file's index, so blocks can be decoded in parallel and from any checkpoint. Coding is vectorised over blocks and lanes.
 
+Files are decoded by segments, runs of documents of about SEGMENT_IDS ids: a task reads a file's index, the words of the
+blocks that its segment touches, and nothing else. Which segments there are is a table that writing the files gives.
+
 Layout (little endian): magic, a JSON header behind its length (uint32) and crc32 (uint32), then the sections that
-the header lists with their types and lengths: alphabet, freqs, block_words, block_crc, states, words, doc_ids,
-doc_null, doc_tokens.
+the header lists with their types and lengths: alphabet, freqs, block_words, block_crc, states, doc_ids, doc_null,
+doc_tokens and, last, words. The header has a crc32 of all sections but the words, which block_crc guards.
 """
 
 from __future__ import annotations
@@ -24,23 +27,24 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordMemory, Words, bounded_batches, lean, scratch, slices, texts_of
+from .common import WordMemory, Words, bounded_batches, lean, materialize, scratch, slices, texts_of
 
-MAGIC = b"MRANS\x00\x00\x01"
+MAGIC = b"MRANS\x00\x00\x02"
 #: Frequencies of a table add up to 2 ** PRECISION.
 PRECISION = 20
 LANES = 32
 STEPS = 512
 BLOCK = LANES * STEPS
 LOWEST = 1 << 31
-#: A file is closed when it holds this many ids.
+#: A file is closed when it holds this many ids, and a segment of it when it does.
 FILE_IDS = 4_000_000
+SEGMENT_IDS = 1_000_000
 SECTIONS = (
-    ("alphabet", "<u4"), ("freqs", "<u4"), ("block_words", "<u4"), ("block_crc", "<u4"), ("states", "<u8"), ("words", "<u4"),
-    ("doc_ids", "<i8"), ("doc_null", "u1"), ("doc_tokens", "<u4"),
+    ("alphabet", "<u4"), ("freqs", "<u4"), ("block_words", "<u4"), ("block_crc", "<u4"), ("states", "<u8"),
+    ("doc_ids", "<i8"), ("doc_null", "u1"), ("doc_tokens", "<u4"), ("words", "<u4"),
 )
 
 
@@ -63,7 +67,7 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
 def encode_ids(ids: np.ndarray) -> dict[str, np.ndarray]:
     """Sections of the coded ids (uint32); an empty array has none but empty ones."""
     if not len(ids):
-        return {name: np.empty(0, dtype=kind) for name, kind in SECTIONS[:6]}
+        return {name: np.empty(0, dtype=kind) for name, kind in SECTIONS if not name.startswith("doc_")}
     if int(ids.max()) < 1 << 20:
         counts = np.bincount(ids)
         alphabet = np.flatnonzero(counts)
@@ -98,8 +102,8 @@ def encode_ids(ids: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def decode_blocks(parts: dict[str, np.ndarray], n_ids: int, first: int = 0, last: int | None = None) -> np.ndarray:
-    """Ids of blocks first..last-1 (all by default), each checked against its crc32."""
+def decode_blocks(parts: dict[str, np.ndarray], n_ids: int, first: int = 0, last: int | None = None, words: np.ndarray | None = None) -> np.ndarray:
+    """Ids of blocks first..last-1 (all by default), each checked against its crc32; ``words``: those of these blocks alone."""
     total = len(parts["block_words"])
     last = total if last is None else last
     blocks = last - first
@@ -108,9 +112,9 @@ def decode_blocks(parts: dict[str, np.ndarray], n_ids: int, first: int = 0, last
     freqs = parts["freqs"].astype(np.uint64)
     base = np.concatenate(([0], np.cumsum(freqs)[:-1])).astype(np.uint64)
     symbol_of = np.repeat(np.arange(len(freqs)), freqs.astype(np.int64))
-    places = np.concatenate(([0], np.cumsum(parts["block_words"].astype(np.int64))))
-    at = places[first:last].copy()
-    words = np.concatenate((parts["words"], np.zeros(LANES, dtype="<u4"))).astype(np.uint64)
+    places = word_places(parts)
+    at = places[first:last] - (0 if words is None else places[first])
+    words = np.concatenate((parts["words"] if words is None else words, np.zeros(LANES, dtype="<u4"))).astype(np.uint64)
     x = parts["states"].reshape(total, LANES)[first:last].astype(np.uint64)
     out = np.empty((STEPS, blocks, LANES), dtype=np.uint32)
     mask = np.uint64((1 << PRECISION) - 1)
@@ -121,7 +125,7 @@ def decode_blocks(parts: dict[str, np.ndarray], n_ids: int, first: int = 0, last
         x = freqs[s] * (x >> np.uint64(PRECISION)) + slot - base[s]
         need = x < LOWEST
         rank = np.cumsum(need, axis=1)
-        x = np.where(need, (x << np.uint64(32)) | words[at[:, None] + rank - 1], x)
+        x = np.where(need, (x << np.uint64(32)) | words[np.minimum(at[:, None] + rank - 1, len(words) - 1)], x)
         at += rank[:, -1]
     ids = parts["alphabet"][out.transpose(1, 0, 2).reshape(-1)][: n_ids - first * BLOCK].astype("<u4")
     for k in range(blocks):
@@ -130,28 +134,66 @@ def decode_blocks(parts: dict[str, np.ndarray], n_ids: int, first: int = 0, last
     return ids
 
 
+def word_places(parts: dict[str, np.ndarray]) -> np.ndarray:
+    """Where each block's words begin, and where they end after the last."""
+    return np.concatenate(([0], np.cumsum(parts["block_words"].astype(np.int64))))
+
+
 def pack_file(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
     parts = encode_ids(ids)
     parts |= {"doc_ids": np.array([d or 0 for d in doc_ids], "<i8"), "doc_null": np.array([d is None for d in doc_ids], "u1"), "doc_tokens": np.array(lengths, "<u4")}
     sections = [[name, kind, len(parts[name])] for name, kind in SECTIONS]
-    head = json.dumps({"ids": len(ids), "precision": PRECISION, "lanes": LANES, "steps": STEPS, "sections": sections}).encode()
-    return b"".join([MAGIC, struct.pack("<II", len(head), zlib.crc32(head)), head, *(parts[name].astype(kind).tobytes() for name, kind in SECTIONS)])
+    index = b"".join(parts[name].astype(kind).tobytes() for name, kind in SECTIONS[:-1])
+    head = json.dumps({"ids": len(ids), "precision": PRECISION, "lanes": LANES, "steps": STEPS, "sections": sections, "index_crc": zlib.crc32(index)}).encode()
+    return b"".join([MAGIC, struct.pack("<II", len(head), zlib.crc32(head)), head, index, parts["words"].astype("<u4").tobytes()])
 
 
-def read_index(content: bytes) -> tuple[dict, dict[str, np.ndarray]]:
-    """Header and sections (views, not copies) of a file."""
+def read_header(content: bytes) -> dict:
+    """The header of a file that begins with this; with ``begin`` and ``words``: where the index and the words begin."""
     if content[:8] != MAGIC:
         raise ValueError("not a file of this format")
     size, crc = struct.unpack_from("<II", content, 8)
     if zlib.crc32(content[16 : 16 + size]) != crc:
         raise ValueError("the header fails its checksum")
-    head, at, parts = json.loads(content[16 : 16 + size]), 16 + size, {}
+    head = json.loads(content[16 : 16 + size])
     if (head["precision"], head["lanes"], head["steps"]) != (PRECISION, LANES, STEPS):
         raise ValueError("other coding parameters than this reader's")
-    for name, kind, n in head["sections"]:
-        parts[name] = np.frombuffer(content, dtype=kind, count=n, offset=at)
+    head["begin"] = 16 + size
+    head["words"] = head["begin"] + sum(np.dtype(kind).itemsize * n for _, kind, n in head["sections"][:-1])
+    return head
+
+
+def read_index(head: dict, index: bytes) -> dict[str, np.ndarray]:
+    """All sections but the words, as views."""
+    if zlib.crc32(index) != head["index_crc"]:
+        raise ValueError("the index fails its checksum")
+    at, parts = 0, {}
+    for name, kind, n in head["sections"][:-1]:
+        parts[name] = np.frombuffer(index, dtype=kind, count=n, offset=at)
         at += parts[name].nbytes
-    return head, parts
+    return parts
+
+
+def read_file(content: bytes) -> tuple[dict, dict[str, np.ndarray]]:
+    """Header and all sections of a whole file."""
+    head = read_header(content)
+    parts = read_index(head, content[head["begin"] : head["words"]])
+    return head, parts | {"words": np.frombuffer(content, "<u4", offset=head["words"])}
+
+
+def read_segment(store: pyarrow.fs.FileSystem, path: str, first_doc: int, n_docs: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The index of a file, and the ids of some of its documents, from their checkpoints on."""
+    with store.open_input_file(path) as f:
+        start = f.read_at(16, 0)
+        size = struct.unpack_from("<I", start, 8)[0] if start[:8] == MAGIC else 0
+        head = read_header(start + f.read_at(size, 16))
+        parts = read_index(head, f.read_at(head["words"] - head["begin"], head["begin"]))
+        ends = np.cumsum(parts["doc_tokens"].astype(np.int64))
+        a, b = int(ends[first_doc - 1]) if first_doc else 0, int(ends[first_doc + n_docs - 1])
+        first, last = a // BLOCK, -(-b // BLOCK)
+        places = word_places(parts)
+        words = np.frombuffer(f.read_at(4 * int(places[last] - places[first]), head["words"] + 4 * int(places[first])), "<u4")
+    return parts, decode_blocks(parts, head["ids"], first, last, words)[a - first * BLOCK : b - first * BLOCK]
 
 
 #: How the tokenizer splits (fixed value), and the same in this library's syntax for text without apostrophes.
@@ -278,33 +320,47 @@ def put(uri: str, name: str, content: bytes) -> None:
     store.move(held, f"{path}/{name}")
 
 
+def parts_of(ids: list[int | None], ties: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The range of each row between the sorted cuts; rows whose id is a cut are spread, by their text's hash, over all
+    ranges that the cut ends or begins, so an id that a third of all rows have takes a third of the ranges. Null is least."""
+    own = np.array([NULL_ID if d is None else d for d in ids], dtype=np.float64)
+    low, high = np.searchsorted(cuts, own, side="left"), np.searchsorted(cuts, own, side="right")
+    exact = (np.abs(own) < 2**53) | (own == NULL_ID)  # beyond, different ids can look equal here
+    return np.where(exact, low + (((high - low + 1) * ties.astype(np.int64)) >> 32), high).astype(np.int32)
+
+
+#: What a null id counts as when ranges are made.
+NULL_ID = float(-(2**63))
+SEGMENTS = "file string, part int, segment int, first_doc long, n_docs long, n_tokens long"
+
+
 def encode_documents(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """Writes the files under ``path`` and returns one row each: file, part, n_docs, n_tokens. Runs at once.
+    """Writes the files under ``path`` and returns a row for each segment of them: file, part, segment, first_doc, n_docs,
+    n_tokens. Runs at once; the rows are a table in the shared folder and never come to the driver.
 
-    Documents are in ascending order of id over the files in their order (null ids first, equal ids by text).
+    Documents are in ascending order of id over the files in their order (null ids first, equal ids by their texts' crc32).
     A null text counts as empty and has only the end id.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     kept = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("__text"))
     parts = max(1, kept.rdd.getNumPartitions())
-    cuts = kept.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    edges = np.unique(np.array([c for c in cuts or [] if c is not None], dtype=np.float64))
+    ids = kept.select(F.coalesce(F.col("doc_id").cast("double"), F.lit(NULL_ID)).alias("id"))
+    cuts = np.array(ids.approxQuantile("id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else [], dtype=np.float64)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(tokenizer)
         small = tokens.library.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
         for batch in batches:
-            own = np.array([np.nan if d is None else d for d in batch.column("doc_id").to_pylist()], dtype=np.float64)
-            place = np.where(np.isnan(own), 0, np.searchsorted(edges, own, side="right")).astype(np.int32)
             texts = texts_of(batch.column("__text"))
+            tie = np.fromiter(map(zlib.crc32, texts), np.int64, len(texts))
+            place = parts_of(batch.column("doc_id").to_pylist(), tie, cuts)
             ids = []
             for run, counts in tokens.encode(texts):
                 raw, wide = (run.astype("<u2") if small else run).tobytes(), 2 if small else 4
                 ends = np.cumsum(counts) * wide
                 ids += [raw[a:b] for a, b in zip((ends - counts * wide).tolist(), ends.tolist(), strict=True)]
-            tie = [zlib.crc32(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(place), batch.column("doc_id"), pa.array(tie, pa.int64()), pa.array(ids, pa.binary()), pa.array([small] * len(ids))], ["part", "doc_id", "tie", "ids", "small"])
+            yield pa.RecordBatch.from_arrays([pa.array(place), batch.column("doc_id"), pa.array(tie), pa.array(ids, pa.binary()), pa.array([small] * len(ids))], ["part", "doc_id", "tie", "ids", "small"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids: list[int | None] = []
@@ -316,10 +372,15 @@ def encode_documents(docs: DataFrame, path: str, tokenizer: str | None = None, e
         def close() -> pa.RecordBatch:
             name = f"part-{part:06d}-{number:04d}.rans"
             put(path, name, pack_file(doc_ids, lengths, np.concatenate(held)))
-            row = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int32()), pa.array([len(doc_ids)], pa.int64()), pa.array([count], pa.int64())], ["file", "part", "n_docs", "n_tokens"])
+            # the segment of a document: how often SEGMENT_IDS fits into what stands before it
+            before = np.cumsum(lengths) - lengths
+            first = np.flatnonzero(np.diff(before // SEGMENT_IDS, prepend=-1))
+            n_docs = np.diff(np.append(first, len(lengths)))
+            n = len(first)
+            columns = [pa.array([name] * n), pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(first), pa.array(n_docs), pa.array(np.add.reduceat(lengths, first).astype(np.int64))]
             for x in (doc_ids, lengths, held):
                 x.clear()
-            return row
+            return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SEGMENTS.split(", ")])
 
         for batch in batches:
             for p, d, x, small in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "ids", "small")), strict=True):
@@ -335,44 +396,46 @@ def encode_documents(docs: DataFrame, path: str, tokenizer: str | None = None, e
             yield close()
 
     ready = kept.mapInArrow(lean(tokenise), "part int, doc_id long, tie long, ids binary, small boolean")
-    ready = ready.repartitionById(len(edges) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie")
-    rows = ready.mapInArrow(lean(write), "file string, part int, n_docs long, n_tokens long").collect()  # one row for each file
-    return spark.createDataFrame(sorted(tuple(r) for r in rows), "file string, part int, n_docs long, n_tokens long")
+    ready = ready.repartitionById(len(cuts) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie", "ids")
+    return materialize(ready.mapInArrow(lean(write), SEGMENTS), "rans-segments")
+
 
+def decode_documents(segments: DataFrame, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32, file for every document of the files that ``segments`` lists, and of no others.
 
-def decode_documents(files: DataFrame, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32, file for every document, from the files that ``files`` lists."""
-    spark = files.sparkSession
-    starts, total = {}, 0
-    for r in files.orderBy("file").collect():  # one row for each file
-        starts[r["file"]] = total
-        total += r["n_tokens"]
+    ``start`` counts the ids before a document over all listed files in order of part and file. Where each segment begins is
+    summed up by part first, so a single task sees one row for each part.
+    """
+    totals = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("k"))
+    every, own = Window.orderBy("part"), Window.partitionBy("part").orderBy("file", "segment")
+    before = totals.select("part", (F.sum("n").over(every) - F.col("n")).alias("tokens_before"), (F.sum("k").over(every) - F.col("k")).alias("segments_before"))
+    placed = segments.join(before, "part")
+    start = F.col("tokens_before") + F.sum("n_tokens").over(own) - F.col("n_tokens")
+    placed = placed.select("file", "first_doc", "n_docs", start.alias("start"), (F.col("segments_before") + F.row_number().over(own)).alias("at"))
+    tasks = max(1, min(segments.count(), 100_000))
+    dealt = placed.repartitionById(tasks, F.pmod("at", F.lit(tasks)).cast("int"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pyarrow.fs.FileSystem.from_uri(path)
         for batch in batches:
-            for where, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                name = where.rpartition("/")[2]
-                head, parts = read_index(content)
-                ids = decode_blocks(parts, head["ids"])
-                lengths = parts["doc_tokens"].astype(np.int64)
+            for name, first, n, start in zip(*(batch.column(c).to_pylist() for c in ("file", "first_doc", "n_docs", "start")), strict=True):
+                parts, ids = read_segment(store, f"{base}/{name}", first, n)
+                lengths = parts["doc_tokens"][first : first + n].astype(np.int64)
                 ends = np.cumsum(lengths)
                 raw = memoryview(ids.tobytes())
-                crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                own = pa.array(parts["doc_ids"], mask=parts["doc_null"].astype(bool))
-                out = [own, pa.array(starts[name] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64()), pa.array([name] * len(crc), pa.string())]
+                crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
+                doc_ids = pa.array(parts["doc_ids"][first : first + n], mask=parts["doc_null"][first : first + n].astype(bool))
+                out = [doc_ids, pa.array(start + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64()), pa.array([name] * len(crc), pa.string())]
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "start", "n_tokens", "ids_crc32", "file"])
 
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long, file string"
-    if not starts:
-        return spark.createDataFrame([], schema)
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.rans").load(path).select("path", "content")
-    return found.mapInArrow(lean(read), schema)
+    return dealt.mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, path: str | None = None) -> DataFrame:
     """Encodes ``docs`` into files, in the shared folder unless ``path`` names another, and reads them back.
 
-    Every row has its result; repeated ids stand beside each other in the files. An empty table writes no file.
+    Every row has its result; repeated ids stand beside each other in the files. An empty table writes no file. Files that
+    lay in ``path`` before are replaced if they have a new one's name and are left alone otherwise; they are never read.
     """
     path = path or scratch(docs.sparkSession, "rans")
     return decode_documents(encode_documents(docs, path, tokenizer, end_id), path)

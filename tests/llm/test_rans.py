@@ -7,7 +7,7 @@ import tokenizers
 
 from millrace.llm import rans
 from millrace.llm.common import scratch
-from millrace.llm.rans import BLOCK, decode_blocks, decode_documents, default_tokenizer, encode_documents, encode_ids, frequencies, pack_file, read_index, round_trip, tokens_of
+from millrace.llm.rans import BLOCK, decode_blocks, decode_documents, default_tokenizer, encode_documents, encode_ids, frequencies, pack_file, parts_of, read_file, round_trip, tokens_of
 
 from .helpers import NASTY, nasty, none
 
@@ -47,7 +47,7 @@ def test_frequencies_fill_the_table():
 def test_damage_is_noticed():
     ids = np.arange(BLOCK, dtype=np.uint32) % 77
     content = pack_file([1], [BLOCK], ids)
-    head, parts = read_index(content)
+    head, parts = read_file(content)
     assert np.array_equal(decode_blocks(parts, head["ids"]), ids)
     broken = dict(parts)
     broken["words"] = parts["words"].copy()
@@ -55,9 +55,39 @@ def test_damage_is_noticed():
     with pytest.raises(ValueError, match="checksum"):
         decode_blocks(broken, head["ids"])
     with pytest.raises(ValueError, match="header"):
-        read_index(content[:20] + b"#" + content[21:])
+        read_file(content[:20] + b"#" + content[21:])
     with pytest.raises(ValueError, match="format"):
-        read_index(b"x" * 40)
+        read_file(b"x" * 40)
+    for at in (head["begin"], (head["begin"] + head["words"]) // 2, head["words"] - 1):  # any section of the index
+        with pytest.raises(ValueError, match="index"):
+            read_file(content[:at] + bytes([content[at] ^ 1]) + content[at + 1 :])
+
+
+@pytest.mark.parametrize("first", [0, 1, 7, 29])
+@pytest.mark.parametrize("n", [1, 5])
+def test_a_segment_reads_its_documents_alone(tmp_path, first, n):
+    import pyarrow.fs
+
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 3 * BLOCK // 2, 34).tolist()
+    ids = rng.integers(0, 900, sum(lengths)).astype(np.uint32)
+    (tmp_path / "a").write_bytes(pack_file(list(range(34)), lengths, ids))
+    parts, got = rans.read_segment(pyarrow.fs.LocalFileSystem(), str(tmp_path / "a"), first, n)
+    start = sum(lengths[:first])
+    assert np.array_equal(got, ids[start : start + sum(lengths[first : first + n])])
+    assert parts["doc_ids"].tolist() == list(range(34))
+
+
+def test_hot_ids_take_their_share_of_the_ranges():
+    rng = np.random.default_rng(4)
+    ids = [7] * 4_000 + [None] * 4_000 + rng.integers(-500, 500, 4_000).tolist()
+    ties = rng.integers(0, 1 << 32, len(ids))
+    own = np.array([rans.NULL_ID if d is None else d for d in ids], dtype=np.float64)
+    cuts = np.sort(own)[np.arange(1, 12) * len(own) // 12]
+    part = parts_of(ids, ties, cuts)
+    assert np.bincount(part, minlength=12).max() < 2_200
+    order = sorted(range(len(ids)), key=lambda i: (part[i], own[i], ties[i]))
+    assert order == sorted(range(len(ids)), key=lambda i: (own[i], ties[i]))
 
 
 def library():
@@ -91,14 +121,30 @@ def test_query_matches_brute_force(spark):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == brute(rows)
 
 
-def test_several_files_for_a_part(spark, monkeypatch):
+def test_several_files_and_segments_for_a_part(spark, monkeypatch):
     rows = [(i, "some words in a text") for i in range(50)]
     path = scratch(spark, "rans-test")
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     monkeypatch.setattr(rans, "FILE_IDS", 40)
-    files = encode_documents(df, path)
-    assert files.count() >= 1
-    assert sorted(map(tuple, decode_documents(files, path).drop("file").collect()), key=lambda r: r[1]) == brute(rows)
+    monkeypatch.setattr(rans, "SEGMENT_IDS", 12)
+    segments = encode_documents(df, path)
+    assert segments.agg({"n_docs": "sum", "n_tokens": "sum"}).first()[0] > 0
+    assert segments.count() > segments.select("file").distinct().count() >= 1
+    assert sorted(map(tuple, decode_documents(segments, path).drop("file").collect()), key=lambda r: r[1]) == brute(rows)
+
+
+def test_a_path_used_before(spark):
+    path = scratch(spark, "rans-again")
+    make = lambda n: [(i, f"text number {i} of {n}") for i in range(n)]
+    for n in (50, 5):
+        got = round_trip(spark.createDataFrame(make(n), "doc_id long, text string").repartition(4), path=path)
+        assert sorted(map(tuple, got.drop("file").collect()), key=lambda r: r[1]) == brute(make(n))
+
+
+def test_rows_of_one_id(spark):
+    rows = [(3, f"text {i}") for i in range(200)] + [(None, f"text {i}") for i in range(200)] + [(i, "x") for i in range(40)]
+    got = round_trip(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).drop("file").collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == brute(rows)
 
 
 def test_nasty_rows(spark):

@@ -24,6 +24,8 @@ WINDOW = 64
 #: Texts too short to choose among windows of 64 bytes have all their windows of this size as features.
 SHORT_WINDOW = 16
 SCALE = 1 << 20
+#: Neighbourhoods that are gone through at once; places are numbered in 24 bits.
+PIECE = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -78,14 +80,14 @@ def gain_of_first(window: np.ndarray, steps: np.ndarray) -> int:
     return int(sum(steps[1 : c + 1].sum() for c in np.bincount(window, minlength=256) if c))
 
 
-def choose(ranks: np.ndarray, allowed: np.ndarray, params: DigestParams) -> np.ndarray:
-    """Places of the features: windows that are the rarest (of equals the first) of ``popularity`` neighbourhoods or more.
+def votes(ranks: np.ndarray, allowed: np.ndarray, params: DigestParams) -> np.ndarray:
+    """In how many neighbourhoods each window is the rarest (of equals the first).
 
     ``allowed``: whether the neighbourhood that begins at a window lies inside one text.
     """
     n, wide = len(ranks), params.neighbourhood
     if n < wide:
-        return np.empty(0, dtype=np.int64)
+        return np.zeros(n, dtype=np.int64)
     key = (ranks << np.int64(24)) | np.arange(n, dtype=np.int64)
     have = 1
     best = key
@@ -95,7 +97,7 @@ def choose(ranks: np.ndarray, allowed: np.ndarray, params: DigestParams) -> np.n
         have += step
     winners = best[allowed[: len(best)]]
     winners = winners[(winners >> np.int64(24)) < np.iinfo(np.int32).max] & np.int64((1 << 24) - 1)
-    return np.flatnonzero(np.bincount(winners, minlength=n) >= params.popularity)
+    return np.bincount(winners, minlength=n)
 
 
 def feature_bits(buf: np.ndarray, places: np.ndarray, params: DigestParams) -> np.ndarray:
@@ -134,7 +136,7 @@ def digests(texts: list[bytes], params: DigestParams = DigestParams(), most: int
         allowed = np.ones(len(ranks), dtype=bool)
         for end in starts[1:-1]:  # no neighbourhood reaches into the next text
             allowed[max(0, end - long + 1) : end] = False
-        places = choose(ranks, allowed, params)
+        places = np.flatnonzero(votes(ranks, allowed, params) >= params.popularity)
         bits = feature_bits(buf, places, params) if len(places) else np.empty((0, params.hashes), np.int64)
         cuts = np.searchsorted(places, starts)
         for k, i in enumerate(run):
@@ -153,9 +155,9 @@ def digests(texts: list[bytes], params: DigestParams = DigestParams(), most: int
             if t:
                 out[i] = whole(t)
             continue
-        if len(t) > 1 << 23:  # places are numbered in 24 bits: a longer text is cut into pieces that overlap by a neighbourhood
-            found = [digest_bits(t[a : a + (1 << 23) + long - 1], params) for a in range(0, len(t) - long + 1, 1 << 23)]
-            out[i] = filters(np.concatenate(found), params) if sum(map(len, found)) else whole(t)
+        if len(t) > PIECE:
+            found = digest_bits(t, params)
+            out[i] = filters(found, params) if len(found) else whole(t)
             continue
         if size + len(t) > most and run:
             flush()
@@ -167,11 +169,23 @@ def digests(texts: list[bytes], params: DigestParams = DigestParams(), most: int
     return out
 
 
-def digest_bits(text: bytes, params: DigestParams) -> np.ndarray:
-    buf = np.frombuffer(text, dtype=np.uint8)
-    ranks = window_ranks(buf, params)
-    places = choose(ranks, np.ones(len(ranks), dtype=bool), params)
-    return feature_bits(buf, places, params) if len(places) else np.empty((0, params.hashes), np.int64)
+def digest_bits(text: bytes, params: DigestParams, piece: int = PIECE) -> np.ndarray:
+    """Bits of a long text's features: neighbourhoods are gone through piece by piece, and a window at a seam has the
+    votes of the neighbourhoods of both its pieces, so that the seams change nothing."""
+    long = WINDOW + params.neighbourhood - 1
+    found, carried = [], np.zeros(0, dtype=np.int64)
+    last = (len(text) - long) // piece * piece
+    for a in range(0, last + 1, piece):
+        buf = np.frombuffer(text, dtype=np.uint8, count=min(piece + long - 1, len(text) - a), offset=a)
+        ranks = window_ranks(buf, params)
+        count = votes(ranks, np.ones(len(ranks), dtype=bool), params)
+        count[: len(carried)] += carried
+        own = len(count) if a == last else piece
+        carried = count[own:]
+        places = np.flatnonzero(count[:own] >= params.popularity)
+        if len(places):
+            found.append(feature_bits(buf, places, params))
+    return np.concatenate(found) if found else np.empty((0, params.hashes), np.int64)
 
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.int64)

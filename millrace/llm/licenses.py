@@ -2,17 +2,21 @@
 
 All rolling word 3-gram hashes of the texts are joined with the positions of the same hashes in license templates.
 A hit lies on the diagonal (text position - template position); hits of one diagonal vote together, neighbouring
-diagonals (words inserted or left out) are merged, and the span found is verified word by word.
+diagonals (words inserted or left out) are merged, and a run with enough votes for its template is verified word by word.
+
+The built-in templates are the sentences by which common licenses are declared and the telling paragraphs of some short
+ones, not a collection of whole licenses; ``load_templates`` reads such a collection.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, bounded_batches, byte_table, lean, materialize, mix, slices, texts_of
@@ -20,25 +24,48 @@ from .common import Words, bounded_batches, byte_table, lean, materialize, mix,
 #: What separates words: all ASCII but digits and lower-case letters (texts are lower-cased first).
 SEPARATORS = byte_table(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 K = 3
-#: Templates: sentences by which licenses are declared, and the label of each.
+#: Templates: sentences by which licenses are declared and paragraphs of their texts, with the label of each (fixed values).
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
     ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
     ("agpl", "licensed under the gnu affero general public license version 3"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-3-clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by", "licensed under cc by 4 0"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
-    ("proprietary", "copyright all rights reserved no part of this publication may be reproduced distributed or transmitted in any form or by any means"),
+    ("odc", "made available under the open database license"),
+    ("proprietary", "all rights reserved"),
+    ("proprietary", "no part of this publication may be reproduced distributed or transmitted in any form or by any means"),
 )
 #: Phrases of the base labels (fixed by the contract).
 BASE_PHRASES = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
@@ -47,21 +74,36 @@ DRIFT = 4
 #: A template as long as this many words need not be there as a whole: so many words in place are enough.
 ENOUGH_WORDS = 12
 MIN_COVERAGE = 0.8
+#: Votes that a run of diagonals needs: this share of its template's k-grams, at most those of ENOUGH_WORDS words.
+MIN_VOTES = 0.4
+#: Templates and k-grams of theirs that are sent to every task at most.
+MOST_TEMPLATES, MOST_GRAMS = 10_000, 2_000_000
+
+
+def votes_needed(n_words: int) -> int:
+    return max(1, min(math.ceil(MIN_VOTES * (n_words - K + 1)), ENOUGH_WORDS - K + 1))
 
 
 def plain_hash(words: list[bytes]) -> np.ndarray:
     return Words([b" ".join(words)], SEPARATORS).hashes()
 
 
-def template_table(templates=TEMPLATES) -> list[tuple[int, int, int]]:
-    """(hash, template, position) of every k-gram of the templates; a template of fewer words is refused."""
+def template_words(text: str) -> list[bytes]:
+    words = Words([text.encode().lower()], SEPARATORS)
+    raw = words.buf.tobytes()
+    return [raw[a:b] for a, b in zip(words.start.tolist(), words.end.tolist(), strict=True)]
+
+
+def template_table(templates=TEMPLATES) -> list[tuple[int, int, int, int]]:
+    """(hash, template, position, votes needed) of every k-gram of the templates; a template of fewer words is refused."""
     rows = []
     for t, (_, text) in enumerate(templates):
-        words = Words([text.encode()], SEPARATORS)
+        words = Words([text.encode().lower()], SEPARATORS)
         at, value = words.windows(words.hashes(), K)
         if not len(at):
             raise ValueError(f"template {t} has fewer than {K} words")
-        rows += [(int(v), t, int(p)) for p, v in zip(at, value.view(np.int64), strict=True)]
+        needed = votes_needed(len(words.start))
+        rows += [(int(v), t, int(p), needed) for p, v in zip(at, value.view(np.int64), strict=True)]
     return rows
 
 
@@ -77,8 +119,14 @@ def verify(found: list[bytes], template: list[bytes]) -> tuple[int, int, int]:
     return sum(b.size for b in blocks), blocks[0].a, blocks[-1].a + blocks[-1].size - 1
 
 
+def outdone(span: dict, other: dict) -> bool:
+    """Whether a span of another label has more words in place and holds more than half of this one."""
+    shared = min(span["last"], other["last"]) - max(span["first"], other["first"]) + 1
+    return other["label"] != span["label"] and other["n"] > span["n"] and 2 * shared > span["last"] - span["first"] + 1
+
+
 #: Words that tell one license from another: a span must have those of its template and no other.
-TELLING = frozenset(b"mit apache gpl lesser affero general mozilla creative attribution sharealike cc nc sa".split())
+TELLING = frozenset(b"mit apache gpl lesser affero general mozilla creative attribution sharealike noncommercial noderivatives cc nc sa nd eclipse boost".split())
 
 
 def same_license(found: list[bytes], template: list[bytes]) -> bool:
@@ -86,20 +134,27 @@ def same_license(found: list[bytes], template: list[bytes]) -> bool:
 
 
 def votes(row: DataFrame, table: DataFrame) -> DataFrame:
-    """(row_id, template, low, high): runs of neighbouring diagonals that got votes, from (row_id, pos, hash).
+    """(row_id, template, low, high, votes): runs of neighbouring diagonals with enough votes, from (row_id, pos, hash) and
+    (hash, template, tpos, needed).
 
-    The join's right side is the k-grams of the templates: bounded by the templates given, whatever the corpus is.
+    The join's right side is the k-grams of the templates: bounded by MOST_GRAMS, whatever the corpus is.
     """
     hits = row.join(F.broadcast(table), "hash")
     diagonals = hits.groupBy("row_id", "template", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high")
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"), F.first("needed").alias("needed")
     )
-    from pyspark.sql import Window
-
     order = Window.partitionBy("row_id", "template").orderBy("diagonal")
     new = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT).cast("int"), F.lit(1))
     runs = diagonals.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("row_id", "template", "run").agg(F.sum("n").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"))
+    merged = runs.groupBy("row_id", "template", "run").agg(F.sum("n").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"), F.first("needed").alias("needed"))
+    return merged.where("votes >= needed").drop("needed")
+
+
+def load_templates(spark: SparkSession, path: str) -> tuple[tuple[str, str], ...]:
+    """A template for each text file of a folder, labelled by its name without ending; '' for folders without any."""
+    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select("_metadata.file_name", "value")
+    rows = sorted(tuple(r) for r in files.limit(MOST_TEMPLATES + 1).collect())
+    return tuple((name.rpartition(".")[0].lower() or name.lower(), text) for name, text in rows)
 
 
 def scan_licenses(
@@ -108,18 +163,20 @@ def scan_licenses(
     """Columns ``keep`` and, for each row: n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. ``base_*`` come from BASE_PHRASES; ``labels``
-    adds those of verified template spans; ``spans`` lists them as (label, first, last, coverage); ``score`` is the best
+    adds those of verified template spans, but of similar spans in one place only that of the most words; ``spans`` lists them as (label, first, last, coverage); ``score`` is the best
     coverage, and 1 where a base phrase stands. A null text counts as empty: no words, no labels (''), score 0.
-    Repeated rows give repeated results; other columns aren't read.
+    Repeated rows give repeated results; other columns aren't read. ``templates``: (label, text), sentences or whole texts.
     """
     spark = df.sparkSession
     bounded_batches(spark)
-    if len(templates) > 10_000:
-        raise ValueError("templates are broadcast; give at most 10,000")
+    if len(templates) > MOST_TEMPLATES:
+        raise ValueError(f"templates are sent to every task; give at most {MOST_TEMPLATES}")
+    words_of = [template_words(text) for _, text in templates]
     rows = template_table(templates)
+    if len(rows) > MOST_GRAMS:
+        raise ValueError(f"templates of {len(rows)} k-grams; give at most {MOST_GRAMS}")
     known = np.unique(np.array([r[0] for r in rows], dtype=np.int64))
     names = [t[0] for t in templates]
-    words_of = [[w for w in t[1].encode().split()] for t in templates]
     phrases = [(label, [int(h) for h in plain_hash(p.encode().split())]) for label, p in BASE_PHRASES]
     kept = df.select(*(df[c] for c in keep), df[text].alias("__text"))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
@@ -172,7 +229,7 @@ def scan_licenses(
                 )
 
     measured = materialize(kept.mapInArrow(lean(run), f"{columns}, {word}").withColumn("row_id", F.monotonically_increasing_id()), "licenses")
-    table = spark.createDataFrame(rows, "hash long, template int, tpos long")
+    table = spark.createDataFrame(rows, "hash long, template int, tpos long, needed int")
     hits = measured.where(F.size("grams") > 0).select("row_id", F.explode("grams").alias("g")).select("row_id", "g.pos", "g.hash")
     runs = votes(hits, table).groupBy("row_id").agg(F.collect_list(F.struct("template", "low", "high", "votes")).alias("runs"))
     span = "row_id long, labels array<string>, spans array<struct<label:string,first:long,last:long,coverage:double>>, best double"
@@ -192,9 +249,10 @@ def scan_licenses(
                     if not same_license(own[start + a : start + b + 1], template):
                         continue
                     if b - a + 1 <= 1.5 * n + DRIFT and (coverage >= MIN_COVERAGE or n >= ENOUGH_WORDS):
-                        good.append({"label": names[r["template"]], "first": start + a, "last": start + b, "coverage": coverage})
+                        good.append({"label": names[r["template"]], "first": start + a, "last": start + b, "coverage": coverage, "n": n})
+                good = [g for g in good if not any(outdone(g, k) for k in good)]
                 labels.append(sorted({g["label"] for g in good}))
-                spans.append(good)
+                spans.append([{c: g[c] for c in ("label", "first", "last", "coverage")} for g in good])
                 best.append(max((g["coverage"] for g in good), default=0.0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), pa.array(labels, pa.list_(pa.string())), pa.array(spans, kind), pa.array(best, pa.float64())], ["row_id", "labels", "spans", "best"]

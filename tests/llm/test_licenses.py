@@ -1,8 +1,11 @@
+import math
+import random
 import re
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
-from millrace.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses, verify, votes
+from millrace.llm.licenses import BASE_PHRASES, TEMPLATES, load_templates, scan_licenses, verify, votes
 
 from .helpers import NASTY, nasty, none
 
@@ -51,9 +54,9 @@ def test_labels_of_the_method(spark):
 
 def test_diagonals_merge_across_a_gap(spark):
     hits = spark.createDataFrame([(1, 10, 7), (1, 11, 8), (1, 14, 9), (1, 90, 7), (2, 3, 7)], "row_id long, pos long, hash long")
-    table = spark.createDataFrame([(7, 0, 0), (8, 0, 1), (9, 0, 2)], "hash long, template int, tpos long")
-    got = {(r["row_id"], r["low"], r["high"], r["votes"]) for r in votes(hits, table).collect()}
-    assert got == {(1, 10, 14, 3), (1, 90, 90, 1), (2, 3, 3, 1)}
+    for needed, wanted in ((1, {(1, 10, 14, 3), (1, 90, 90, 1), (2, 3, 3, 1)}), (2, {(1, 10, 14, 3)}), (4, set())):
+        table = spark.createDataFrame([(7, 0, 0, needed), (8, 0, 1, needed), (9, 0, 2, needed)], "hash long, template int, tpos long, needed int")
+        assert {(r["row_id"], r["low"], r["high"], r["votes"]) for r in votes(hits, table).collect()} == wanted
 
 
 def test_every_template_finds_itself(spark):
@@ -72,3 +75,68 @@ def test_nasty_rows(spark):
     wanted = [(d, *brute(t)) for d, t, *_ in NASTY]
     assert sorted(map(tuple, got), key=repr) == sorted(wanted, key=repr)
     assert scan_licenses(none(spark)).where(F.lit(True)).collect() == []
+
+
+def brute_spans(text, templates):
+    """Labels and spans by comparing every triple of words with every triple of every template."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words, spans = WORD.findall(low), []
+    telling = set("mit apache gpl lesser affero general mozilla creative attribution sharealike noncommercial noderivatives cc nc sa nd eclipse boost".split())
+    for label, t in templates:
+        template = t.split()
+        grams = len(template) - 2
+        hits = [(i - j, i) for i in range(len(words) - 2) for j in range(grams) if words[i : i + 3] == template[j : j + 3]]
+        runs, last = [], None
+        for d, i in sorted(hits):
+            if last is None or d - last > 4:
+                runs.append([])
+            runs[-1].append(i)
+            last = d
+        for run in runs:
+            if len(run) < max(1, min(math.ceil(0.4 * grams), 10)):
+                continue
+            start = max(0, min(run) - 4)
+            piece = words[start : max(run) + 7]
+            blocks = [b for b in SequenceMatcher(None, piece, template, autojunk=False).get_matching_blocks() if b.size]
+            n, a, b = sum(x.size for x in blocks), blocks[0].a, blocks[-1].a + blocks[-1].size - 1
+            same = telling & set(piece[a : b + 1]) == telling & set(template)
+            if same and b - a + 1 <= 1.5 * n + 4 and (n / len(template) >= 0.8 or n >= 12):
+                spans.append((label, start + a, start + b, round(n / len(template), 9), n))
+    held = lambda s: set(range(s[1], s[2] + 1))
+    return sorted(s[:4] for s in spans if not any(t[0] != s[0] and t[4] > s[4] and len(held(s) & held(t)) > len(held(s)) / 2 for t in spans))
+
+
+def test_spans_match_brute_force(spark):
+    rng = random.Random(11)
+    plain = "the of a software work license under this terms copy public notice rights".split()
+    rows = []
+    for i in range(150):
+        words = rng.choices(plain, k=rng.randint(0, 40))
+        for _ in range(rng.randint(0, 3)):
+            t = rng.choice(TEMPLATES)[1].split()
+            for _ in range(rng.randint(0, 3)):
+                k = rng.randrange(len(t))
+                t[k : k + rng.randint(0, 1)] = rng.choices(plain, k=rng.randint(0, 2))
+            at = rng.randint(0, len(words))
+            words[at:at] = t
+        rows.append((i, " ".join(words)))
+    for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        want = brute_spans(rows[r["doc_id"]][1], TEMPLATES)
+        assert sorted((s["label"], s["first"], s["last"], round(s["coverage"], 9)) for s in r["spans"]) == want
+        base = brute(rows[r["doc_id"]][1])
+        assert r["labels"] == ",".join(sorted({w[0] for w in want} | set(filter(None, base[4].split(",")))))
+        assert math.isclose(r["score"], 1.0 if base[1] else max((w[3] for w in want), default=0.0), abs_tol=1e-8)
+
+
+def test_a_few_words_of_a_long_template_have_too_few_votes(spark):
+    df = spark.createDataFrame([(0, "any person obtaining a copy of it"), (1, "All rights reserved. Thank you."), (2, "all rights are reserved")], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in scan_licenses(df).collect()} == {0: "", 1: "proprietary", 2: ""}
+
+
+def test_templates_of_a_folder(spark, tmp_path):
+    (tmp_path / "Own-1.txt").write_text("You may do with these files, as you like; but (always) name us.")
+    (tmp_path / "other").write_text("Nobody may ever use any of this")
+    templates = load_templates(spark, str(tmp_path))
+    assert [t[0] for t in templates] == ["own-1", "other"]
+    df = spark.createDataFrame([(0, "note: you may do with these files as you like but always name us."), (1, "nothing")], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in scan_licenses(df, templates=templates).collect()} == {0: "own-1", 1: ""}

@@ -412,7 +412,8 @@ def decode_documents(segments: DataFrame, path: str) -> DataFrame:
     placed = segments.join(before, "part")
     start = F.col("tokens_before") + F.sum("n_tokens").over(own) - F.col("n_tokens")
     placed = placed.select("file", "first_doc", "n_docs", start.alias("start"), (F.col("segments_before") + F.row_number().over(own)).alias("at"))
-    tasks = max(1, min(segments.count(), 100_000))
+    # a task has about as many ids as a file, be it in one segment or in several; what it holds at once is one segment
+    tasks = min(-(-int(segments.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]) // FILE_IDS) or 1, 100_000)
     dealt = placed.repartitionById(tasks, F.pmod("at", F.lit(tasks)).cast("int"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -90,6 +90,14 @@ def above(found: Column, threshold: float | None) -> Column:
     return F.filter(found, lambda e: e["score"] >= threshold) if threshold and threshold > 0 else found
 
 
+def provenance(info: Column) -> Column:
+    """The entries of a JSON list, or of a single object, as maps; null, '' and what is neither have none."""
+    bare = strip(F.coalesce(info, F.lit("")))
+    listed = F.when(bare.startswith("{"), F.concat(F.lit("["), bare, F.lit("]"))).otherwise(bare)
+    held = F.coalesce(F.from_json(listed, "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))
+    return F.filter(held, lambda m: m.isNotNull())
+
+
 def append_provenance(info: Column, entry: Column) -> Column:
     """The JSON list with one entry (a struct of strings) more; null, '' and what isn't a list of objects count as empty."""
     held = F.coalesce(F.from_json(info, "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))
@@ -106,6 +114,18 @@ def clipped(text: Column, n: int) -> Column:
     return F.left(F.coalesce(text, F.lit("")), F.lit(n))
 
 
+def class_list(text: Column) -> Column:
+    """Names between commas, stripped; empty ones are left out."""
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), strip), lambda c: c != "")
+
+
+def url_of(*parts: str | Column) -> Column:
+    """Parts joined by single slashes; empty and null ones are left out."""
+    named = [p if isinstance(p, Column) else F.lit(p) for p in parts]
+    bare = [F.regexp_replace(F.coalesce(p.cast("string"), F.lit("")), "/+$" if k == 0 else "^/+|/+$", "") for k, p in enumerate(named)]
+    return F.array_join(F.filter(F.array(*bare), lambda p: p != ""), "/")
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
@@ -135,6 +155,12 @@ def one_of(value: Column, allowed: list[str]) -> Column:
     return F.when(said.isin(*allowed), said)
 
 
+def fits(value: Column, pattern: str) -> Column:
+    """The stripped value if all of it fits the pattern, else null."""
+    said = strip(value)
+    return F.when(said.rlike(f"^(?:{pattern})$"), said)
+
+
 def tail_period(text: str, periods: range, times: int) -> tuple[int, int] | None:
     """The first period by which the text's end repeats itself at least ``times`` times, and how often it does."""
     n = len(text)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
+from ..functions.numbers import counter
 
 #: Codes of the validation rules: level and what is wrong (fixed values).
 RULES = {
@@ -101,17 +102,23 @@ def exploded(df: DataFrame, fmt: str = "coco_xywh", image_id: str = "image_id",
     return rows.withColumn("area", B.area(F.col("corners"))).drop("box")
 
 
-def distribution(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
-    """count, min, max, mean, median, p25, p75 to two places, by groups if asked; zeros where there is no value."""
+def distribution(df: DataFrame, value: str, by: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
+    """count, min, max, mean, median, p25, p75 to two places, by groups if asked; zeros where there is no value.
+
+    Exact quartiles hold each group's different values in one task. With ``accuracy`` they are existing values whose rank
+    is off by at most 1 / accuracy of the group, from sketches of bounded size that are merged.
+    """
     x = F.col(value).cast("double")
-    quartiles = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    quartiles = F.percentile(x, at) if accuracy is None else F.percentile_approx(x, at, accuracy)
     out = df.groupBy(*(by or [])).agg(F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), quartiles.alias("q"))
     named = {"min": F.col("min"), "max": F.col("max"), "mean": F.col("mean"), "median": F.col("q")[1], "p25": F.col("q")[0], "p75": F.col("q")[2]}
     return out.select(*(by or []), "count", *(F.round(F.coalesce(c, F.lit(0.0)), 2).alias(k) for k, c in named.items()))
 
 
-def box_statistics(df: DataFrame, fmt: str = "coco_xywh") -> DataFrame:
-    """(measure, count, min, ...): areas above 0, aspect ratios of boxes with height, boxes for each image, image sizes."""
+def box_statistics(df: DataFrame, fmt: str = "coco_xywh", accuracy: int | None = None) -> DataFrame:
+    """(measure, count, min, ...): areas above 0, aspect ratios of boxes with height, boxes for each image, image sizes;
+    ``accuracy`` as for ``distribution``."""
     rows = exploded(df, fmt)
     high = F.col("corners")[3] - F.col("corners")[1]
     ratio = F.when(high > 0, (F.col("corners")[2] - F.col("corners")[0]) / high)
@@ -121,7 +128,7 @@ def box_statistics(df: DataFrame, fmt: str = "coco_xywh") -> DataFrame:
     size = lambda c: F.when(known, F.nullif(F.col(c).cast("double"), F.lit(0.0)))
     per_image = F.array(*(F.struct(F.lit(k).alias("measure"), x.alias("x")) for k, x in (("annotations_per_image", F.size("bbox").cast("double")), ("width", size("width")), ("height", size("height")))))
     of_images = flat(df).select(F.explode(per_image).alias("m")).select("m.*")
-    return distribution(of_boxes.union(of_images), "x", ["measure"])
+    return distribution(of_boxes.union(of_images), "x", ["measure"], accuracy)
 
 
 def box_counts(df: DataFrame, fmt: str = "coco_xywh", tolerance: float = 0.5) -> DataFrame:
@@ -157,3 +164,16 @@ def convert_boxes(df: DataFrame, from_fmt: str, to_fmt: str, width: str = "width
     if "conversion" in df.columns:
         return df
     return df.withColumn("conversion", F.to_json(F.struct(F.lit(from_fmt).alias("from"), F.lit(to_fmt).alias("to"))))
+
+
+def against_truth(df: DataFrame, predicted: str = "detections", truth: str = "bbox", names: str = "category", image_id: str = "image_id") -> DataFrame:
+    """(image_id, n_truth, n_predicted, truth_labels, predicted_labels, least, most): what a row's model found beside what it should
+    have; labels are counted into maps, and the least and most coordinate tell the scale of the boxes (0 without any)."""
+    boxes = F.coalesce(F.transform(predicted, lambda d: d["bbox"]), F.array().cast("array<array<double>>"))
+    values = F.filter(F.flatten(boxes), lambda v: v.isNotNull())
+    own = lambda c: F.coalesce(counter(c), F.create_map().cast("map<string,bigint>"))
+    return df.select(
+        F.col(image_id).alias("image_id"), F.size(F.coalesce(truth, F.array().cast(df.schema[truth].dataType))).cast("long").alias("n_truth"), F.size(boxes).cast("long").alias("n_predicted"),
+        own(F.transform(names, lambda c: F.coalesce(c.cast("string"), F.lit("<unknown>")))).alias("truth_labels"), own(F.transform(predicted, lambda d: d["label"])).alias("predicted_labels"),
+        F.coalesce(F.array_min(values), F.lit(0.0)).alias("least"), F.coalesce(F.array_max(values), F.lit(0.0)).alias("most"),
+    )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.texts import append_provenance
+from ..functions.texts import append_provenance, provenance
 
 
 class Predictor(Protocol):
@@ -35,11 +35,12 @@ class FunctionPredictor:
         return [self.of_row(r) for r in rows]
 
 
-def infer(df: DataFrame, predictor: Predictor, inputs: list[str], batch_size: int = 32, error: str = "error") -> DataFrame:
+def infer(df: DataFrame, predictor: Predictor, inputs: list[str], batch_size: int = 32, error: str = "error", alone: bool = True, stand_in: dict[str, Any] | None = None) -> DataFrame:
     """``df`` with the predictor's columns and ``error`` (null where it worked).
 
     Only ``inputs`` are handed to the predictor. A batch that fails is tried again row by row, so a bad row fails
-    alone: its new columns are null and ``error`` says why. Order and all columns of ``df`` are kept.
+    alone: its new columns are null and ``error`` says why; without ``alone`` the whole batch fails. With ``stand_in`` a row
+    that failed is tried once more with these inputs in place of its own. Order and all columns of ``df`` are kept.
     """
     missing = [c for c in inputs if c not in df.columns]
     if missing:
@@ -59,9 +60,16 @@ def infer(df: DataFrame, predictor: Predictor, inputs: list[str], batch_size: in
                 raise ValueError(f"{len(made)} results for {len(rows)} rows")
             return [m | {error: None} for m in made]
         except Exception as e:
-            if len(rows) == 1:
-                return [{error: f"{type(e).__name__}: {e}"[:500]}]
-            return [out for r in rows for out in attempt([r])]
+            if len(rows) > 1 and alone:
+                return [out for r in rows for out in attempt([r])]
+            said = f"{type(e).__name__}: {e}"[:500]
+            return [replaced(r, said) if stand_in else {error: said} for r in rows]
+
+    def replaced(row: dict, said: str) -> dict:
+        try:
+            return predictor.predict([row | (stand_in or {})])[0] | {error: said}
+        except Exception:
+            return {error: said}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if hasattr(predictor, "open"):
@@ -91,6 +99,61 @@ def output_columns(df: DataFrame, info: str = "inference_info") -> list[str]:
     return [c for c, t in df.dtypes if t == "string" and (c == "text" or "markdown" in c.lower() or "ocr" in c.lower())]
 
 
+def model_names(df: DataFrame, info: str = "inference_info") -> dict[str, str]:
+    """The model of each output column by the first row's provenance; a model of several columns is told apart by its short name and
+    the column. A column without provenance is its own model."""
+    columns = output_columns(df, info)
+    models: dict[str, str] = {}
+    if info in df.columns:
+        for r in df.where(F.col(info).isNotNull()).select(provenance(F.col(info)).alias("p")).limit(1).collect():
+            for m in r["p"]:
+                if m.get("column_name") in columns:
+                    models[m["column_name"]] = m.get("model_id") or m.get("model_name") or "unknown"
+    named = {c: models.get(c, c) for c in columns}
+    often = [m for m in named.values()]
+    return {c: f"{m.rpartition('/')[2]} ({c})" if often.count(m) > 1 else m for c, m in named.items()}
+
+
+class Classifier:
+    """Class scores from a function of a row, as label, its probability and its number: softmax and the first largest."""
+
+    columns = "label string, prob double, label_id int"
+
+    def __init__(self, scores: Callable[[dict[str, Any]], list[float]], names: dict[int, str]):
+        self.scores, self.names = scores, names
+
+    def predict(self, rows: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        import math
+
+        out = []
+        for r in rows:
+            z = self.scores(r)
+            top = max(range(len(z)), key=lambda k: (z[k], -k))
+            prob = 1.0 / sum(math.exp(v - z[top]) for v in z)
+            out.append({"label": self.names.get(top, f"#{top}"), "prob": prob, "label_id": top})
+        return out
+
+
+def task_prompt(task: Column, prompts: dict[str, str], default: str) -> Column:
+    """The prompt of each row's task; an unknown or null task has the default's."""
+    if default not in prompts:
+        raise ValueError(f"no prompt for {default!r}; there are {', '.join(prompts)}")
+    table = F.create_map(*(F.lit(x) for k, v in prompts.items() for x in (k, v)))
+    return F.coalesce(table[task], F.lit(prompts[default]))
+
+
+def detection_totals(df: DataFrame, detections: str = "detections", label: str = "label") -> DataFrame:
+    """One row: rows, detections, rows with any, the most in a row."""
+    n = F.greatest(F.size(F.coalesce(detections, F.array().cast(df.schema[detections].dataType))), F.lit(0))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(n), F.lit(0)).alias("detections"), F.count_if(n > 0).alias("rows_with_any"), F.coalesce(F.max(n), F.lit(0)).alias("most"))
+
+
+def of_class(detections: Column, classes: list[str], threshold: float = 0.0) -> Column:
+    """Detections of the wanted classes (case apart) with a score of the threshold at least."""
+    wanted = F.array(*(F.lit(c.lower()) for c in classes))
+    return F.filter(detections, lambda d: F.array_contains(wanted, F.lower(d["label"])) & (F.coalesce(d["score"], F.lit(0.0)) >= threshold))
+
+
 def label_of(index: Column, names: dict[int, str]) -> Column:
     """The name of a class number, or #number."""
     if not names:

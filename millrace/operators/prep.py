@@ -60,3 +60,8 @@ def works(df: DataFrame, shortest: int = 3) -> DataFrame:
     """Works with subjects and a title of more than ``shortest`` signs, and their category and first subject."""
     good = F.col("subjects").isNotNull() & (F.col("subjects") != "[]") & (F.trim("title") != "") & (F.length("title") > shortest)
     return df.where(good).withColumns({"category": first_category(F.col("subjects")), "primary_subject": F.get_json_object("subjects", "$[0]")})
+
+
+def replace_column(df: DataFrame, old: str, new: str) -> DataFrame:
+    """``old`` under the name ``new``; a column that has that name goes."""
+    return df if old == new else df.drop(new).withColumnRenamed(old, new)

@@ -24,14 +24,19 @@ def take(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def random_rows(df: DataFrame, key: str, n: int | None = None, fraction: float | None = None, seed: int | str = 42) -> DataFrame:
-    """n rows, or a fraction of them rounded down but one at least."""
+    """n rows, or a fraction of them rounded down but one at least, in the order of their keys."""
     if (n is None) == (fraction is None):
         raise ValueError("give either n or fraction")
     if fraction is not None:
         if not 0 < fraction <= 1:
             raise ValueError("fraction lies between 0 and 1")
         n = max(1, int(df.count() * fraction))
-    return df.orderBy(seeded(key, seed), key).limit(n)
+    return df.orderBy(seeded(key, seed), key).limit(n).orderBy(key)
+
+
+def first_with(df: DataFrame, key: str, found: str) -> DataFrame:
+    """The row of the least key whose list isn't empty."""
+    return df.where(F.size(found) > 0).orderBy(key).limit(1)
 
 
 def with_category(df: DataFrame, wanted: list[str], categories: str = "category") -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
@@ -14,21 +11,8 @@ from ..operators import annotations as A
 from ..operators import atlas, dedup, diff, inference, judging, media, prep, sampling, stats
 from ..sources import readers, sinks
 from ..streaming import windows
-from .fixtures import images, oracle, read, view
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None, *views: str):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = oracle(sql, *views)
-        return f
-
-    return register
-
+from .fixtures import images, read, view
+from .registry import ORACLES, QUERIES, query
 
 # Corpus statistics
 
@@ -408,19 +392,19 @@ def take_first(spark, sf_dir):
 # Duplicates
 
 
-@query("SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text")
+@query("SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY coalesce(text, '')")
 def dedupe_exact(spark, sf_dir):
     """The first document of each text."""
     return dedup.equal_texts(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
-@query(r"SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY regexp_replace(regexp_replace(lower(text), '\s+', ' ', 'g'), '^ | $', '', 'g')")
+@query(r"SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY regexp_replace(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g'), '^ | $', '', 'g')")
 def dedupe_normalised(spark, sf_dir):
     """The first document of each text, case and white space apart."""
     return dedup.equal_texts(read(spark, sf_dir, "documents"), "doc_id", dedup.normalised(F.col("text")))
 
 
-@query("SELECT count(*) AS rows_before, count(DISTINCT text) AS rows_after, round(100.0 * (count(*) - count(DISTINCT text)) / count(*), 2) AS reduction_percent FROM documents")
+@query("SELECT count(*) AS rows_before, count(DISTINCT coalesce(text, '')) AS rows_after, round(100.0 * (count(*) - count(DISTINCT coalesce(text, ''))) / count(*), 2) AS reduction_percent FROM documents")
 def dedupe_reduction(spark, sf_dir):
     """How much smaller the set gets."""
     docs = read(spark, sf_dir, "documents")
@@ -767,11 +751,11 @@ def path_segments(spark, sf_dir):
     return read(spark, sf_dir, "pages").groupBy(seg.alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first"))
 
 
-@query("SELECT coalesce(a.vec_id, b.doc_id) AS id, coalesce(a.label, -1) AS label, coalesce(b.toxic, -1) AS toxic FROM (SELECT vec_id, label FROM embeddings) a FULL JOIN (SELECT doc_id, toxic FROM labels) b ON a.vec_id = b.doc_id")
+@query("SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation UNION ALL SELECT r_regionkey, r_name, -1 FROM region")
 def union_of_inputs(spark, sf_dir):
-    """Two sets side by side by key."""
-    a = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label")
-    return a.join(read(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "toxic"), "id", "full").fillna(-1, ["label", "toxic"])
+    """Two sets of different columns one after the other, by column name."""
+    nations = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    return nations.unionByName(read(spark, sf_dir, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("key")), allowMissingColumns=True).fillna(-1, ["region"])
 
 
 # Windows over events
@@ -805,7 +789,11 @@ def dedup_within_watermark(spark, sf_dir):
     return windows.first_of_key(windows.event_time(read(spark, sf_dir, "events"), late="1 hour"), ["user_id", "event_type"]).select("user_id", "event_type")
 
 
-@query("SELECT label, count(*) AS n FROM embeddings GROUP BY 1")
+@query("SELECT count(*) AS rows, count(text) AS texts, count(quality) AS labelled, CAST(sum(toxic) AS BIGINT) AS toxic FROM (SELECT doc_id, text FROM documents UNION ALL BY NAME SELECT doc_id, quality, toxic FROM labels)")
 def multi_input(spark, sf_dir):
-    """Counts over inputs given as paths."""
-    return readers.load(spark, f"{sf_dir}/embeddings.parquet", columns=["label"]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    """One set from several paths, with all their columns."""
+    both = readers.load(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/labels.parquet")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count("text").alias("texts"), F.count("quality").alias("labelled"), F.sum("toxic").cast("long").alias("toxic"))
+
+
+from . import more as _more  # noqa: E402,F401  registers further queries

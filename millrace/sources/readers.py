@@ -6,13 +6,15 @@ import hashlib
 import io
 import json
 import re
-import tempfile
 import zipfile
 from fnmatch import translate
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import scratch
+
 #: Format by file name ending (fixed values).
 FORMATS = {"parquet": "parquet", "json": "json", "jsonl": "json", "ndjson": "json", "csv": "csv", "orc": "orc"}
 
@@ -23,7 +25,8 @@ def table(spark: SparkSession, root: str, name: str, config: str | None = None,
 
 
 def load(spark: SparkSession, *paths: str, fmt: str | None = None, recursive: bool = False, columns: list[str] | None = None) -> DataFrame:
-    """Files or globs of one format, told from the ending (Parquet if none); several become one set, by column name."""
+    """Files or globs, their formats told from the ending (Parquet if none); several become one set, by column name. ``recursive``
+    reads the files below a folder that have any ending of the format."""
     if not paths:
         raise ValueError("no path is given")
     kinds = {fmt or FORMATS.get(re.sub(r".*\.(\w+)$", r"\1", p).lower(), "parquet") for p in paths}
@@ -36,7 +39,7 @@ def load(spark: SparkSession, *paths: str, fmt: str | None = None, recursive: bo
         kind = kinds.pop()
         reader = spark.read.format(kind)
         if recursive:
-            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{kind}")
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{{{','.join(e for e, k in FORMATS.items() if k == kind)}}}")
         if kind == "csv":
             reader = reader.option("header", "true").option("inferSchema", "true").option("multiLine", "true")
         if kind == "parquet" and len(paths) > 1:
@@ -105,16 +108,18 @@ def from_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
 
 
 def zipped(spark: SparkSession, content: bytes, root: str | None = None) -> DataFrame:
-    """The Parquet files of an archive, unpacked into ``root``, which all executors must see."""
-    root = root or tempfile.mkdtemp(prefix="millrace-zip-")
-    paths = []
+    """The Parquet files of an archive, unpacked into ``root``, by default a new path in the shared folder. What isn't inside it is refused."""
+    root = root or scratch(spark, "zip")
+    store, base = pyarrow.fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        for name in z.namelist():
-            if name.endswith(".parquet"):
-                if name.startswith("/") or ".." in name.split("/"):
-                    raise ValueError(f"a path outside the archive: {name}")
-                paths.append(z.extract(name, root))
-    return load(spark, *paths, fmt="parquet")
+        names = [n for n in z.namelist() if n.endswith(".parquet")]
+        if any(n.startswith("/") or ".." in n.split("/") for n in names):
+            raise ValueError(f"a path outside the archive in {names}")
+        for name in names:
+            store.create_dir(f"{base}/{name}".rpartition("/")[0], recursive=True)
+            with store.open_output_stream(f"{base}/{name}") as out:
+                out.write(z.read(name))
+    return load(spark, *(f"{root}/{n}" for n in names), fmt="parquet")
 
 
 def template(argument: str) -> dict | list:

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a folder of our own where it is unset."""
+    """``spark.checkpoint.dir``, or a folder of our own where it is unset and everything runs on one machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="millrace-")
         atexit.register(shutil.rmtree, at.removeprefix("file://"), ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", at)

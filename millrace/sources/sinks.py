@@ -80,6 +80,12 @@ def batch_numbers(df: DataFrame, key: str, size: int) -> DataFrame:
     return joined.withColumn("batch", F.floor((F.col("__before") + F.col("__i")) / size).cast("long")).drop("__p", "__i", "__before")
 
 
+def padded(df: DataFrame, results: DataFrame, key: str, defaults: dict[str, str]) -> DataFrame:
+    """All rows of ``df`` with their results by key; what has no result yet gets the defaults (SQL literals by column)."""
+    joined = df.join(results.select(key, *defaults), key, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.expr(v)) for c, v in defaults.items()})
+
+
 def check_run(spark: SparkSession, path: str, metadata: dict, compared: tuple[str, ...]) -> bool:
     """Writes ``metadata`` beside the output on the first run; on later ones what is compared must be equal. True: resumed."""
     at = f"{path.rstrip('/')}/_run_metadata"

@@ -66,6 +66,12 @@ def copies(name: F.Column, seed: str) -> F.Column:
     return quantile(F.col("__mix_u")) + F.when(F.col("__mix_draws") > 1, more).otherwise(F.lit(0))
 
 
+def partitions_of(docs: DataFrame) -> int:
+    """As many as the input has, which grow with its bytes, or as spark.sql.shuffle.partitions if these are more."""
+    used = docs.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p")).first()[0]
+    return max(1, used, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: DataFrame | None = None,
@@ -78,11 +84,11 @@ def mix_sources(
     """Columns of ``docs``, each row as often as its Poisson count says, and ``mix_copy`` and ``mix_key``.
 
     ``mix_copy`` counts a row's copies from 0; ``mix_key`` is the hashed key of the global shuffle: the result is
-    range-partitioned and sorted by it. Rows with equal ids get equal counts. A null id hashes as ''. An empty table
+    range-partitioned and sorted by it, and by id where keys are equal. Rows with equal ids get equal counts. A null id hashes as ''. An empty table
     gives an empty one. Columns of ``docs`` named ``mix_copy`` or ``mix_key`` are replaced.
     """
-    spark = docs.sparkSession
     docs = docs.drop("mix_copy", "mix_key")
+    parts = partitions_of(docs)
     table = rates(docs, weights, alpha, total, source)
     draws = F.ceil(F.col("rate") / F.lit(MAX_RATE)).cast("int")
     table = table.where(F.col("rate") > 0).select(F.col("__source").alias("__mix_source"), draws.alias("__mix_draws"), distribution(F.col("rate") / draws).alias("__mix_cdf"))
@@ -92,7 +98,7 @@ def mix_sources(
     if few:
         joined = docs.withColumn("__mix_source", own).join(F.broadcast(table), "__mix_source")
     else:  # beyond the bound: a hot source is salted over many partitions
-        salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        salts = parts
         spread = table.withColumn("__mix_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         salted = docs.withColumns({"__mix_source": own, "__mix_salt": F.pmod(F.xxhash64(name), F.lit(salts)).cast("int")})
         joined = salted.join(spread, ["__mix_source", "__mix_salt"]).drop("__mix_salt")
@@ -101,6 +107,5 @@ def mix_sources(
     copied = counted.drop("__mix_source", "__mix_draws", "__mix_cdf", "__mix_u").withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1))).drop("__mix_n")
     keyed = copied.withColumn("mix_key", F.md5(F.concat_ws("-", F.lit(f"{seed}-order"), name, F.col("mix_copy").cast("string"))))
     # the key is uniform, so its first bits are an even range partitioning that needs no sampling pass over the texts
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     place = F.floor(F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") * F.lit(parts / 2.0**32)).cast("int")
     return keyed.repartitionById(parts, place).sortWithinPartitions("mix_key", *(c for c in docs.columns if c == id_column))

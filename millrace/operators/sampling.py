@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Iterator
 
-from ..sources.scratch import materialize
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 
 def seeded(column: str | Column, seed: int | str = 42) -> Column:
@@ -54,22 +57,42 @@ def allocation(df: DataFrame, n: int, key: str, categories: str = "category") ->
 def stratified(df: DataFrame, n: int, key: str, categories: str = "category", seed: int | str = 42) -> DataFrame:
     """n rows in which every category has its share, the rarest served first; a row counts for all its categories.
 
-    Rows still missing are filled up in seeded order, and too many are trimmed in it. Two passes for each category,
-    over keys and categories only; what comes to the driver is the share of each category, and the rows chosen so far
-    are a small table of their own.
+    Rows still missing are filled up in seeded order, and too many are trimmed in it. A category that wants w rows finds them
+    among its first w in seeded order, whichever were chosen before, and what fills up is among the first n of all. So
+    only these, n rows and one for each category beyond, meet in one task, which serves the categories in turn.
     """
-    wanted = allocation(df, n, key, categories).orderBy("wanted", "category").collect()  # one row for each category
-    base = materialize(df.select(F.col(key), F.array_distinct(F.coalesce(categories, F.array().cast("array<string>"))).alias("__c"), seeded(key, seed).alias("__o")), "sample")
-    chosen = base.limit(0)
-    for r in wanted:
-        needed = r["wanted"] - chosen.where(F.array_contains("__c", r["category"])).count()
-        if needed > 0:
-            free = base.where(F.array_contains("__c", r["category"])).join(chosen.select(key), key, "left_anti")
-            chosen = materialize(chosen.union(free.orderBy("__o", key).limit(needed).select(*chosen.columns)), "sample")
-    have = chosen.count()
-    if have < n:
-        chosen = chosen.union(base.join(chosen.select(key), key, "left_anti").orderBy("__o", key).limit(n - have).select(*chosen.columns))
-    return df.join(chosen.orderBy("__o", key).limit(n).select(key), key, "left_semi")
+    wanted = allocation(df, n, key, categories).select("category", "wanted")
+    base = df.select(F.col(key).alias("__k"), F.array_distinct(F.coalesce(categories, F.array().cast("array<string>"))).alias("__c"), seeded(key, seed).alias("__o"))
+    each = base.select("__k", "__o", F.explode("__c").alias("category")).join(wanted, "category")
+    place = F.row_number().over(Window.partitionBy("category").orderBy("__o", "__k"))
+    firsts = each.withColumn("__place", place).where(f"__place <= {n + 1} and __place <= wanted").select("category", "wanted", "__o", "__k")
+    kind = df.schema[key].dataType
+    everyone = base.orderBy("__o", "__k").limit(n).select(F.lit(None).cast("string").alias("category"), F.lit(0).cast("long").alias("wanted"), "__o", "__k")
+    rows = firsts.unionByName(everyone).join(base.select(F.col("__k").alias("__id"), "__c"), F.col("__k") == F.col("__id")).drop("__id")
+
+    def serve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queues: dict[tuple, list] = {}
+        of: dict = {}
+        order: list = []
+        for batch in batches:
+            for category, share, o, k, own in zip(*(batch.column(c).to_pylist() for c in ("category", "wanted", "__o", "__k", "__c")), strict=True):
+                of[k] = (o, own)
+                (order if category is None else queues.setdefault((share, category), [])).append((o, k))
+        chosen: dict = {}
+        for share, category in sorted(queues):
+            needed = share - sum(category in of[k][1] for k in chosen)
+            for _, k in sorted(queues[share, category]):
+                if needed > 0 and k not in chosen:
+                    chosen[k] = True
+                    needed -= 1
+        for _, k in sorted(order):
+            if len(chosen) < n:
+                chosen[k] = True
+        first = sorted(chosen, key=lambda k: (of[k][0], k))[:n]
+        yield pa.RecordBatch.from_arrays([pa.array(first, to_arrow_type(kind))], ["__k"])
+
+    chosen = rows.coalesce(1).mapInArrow(serve, StructType([StructField("__k", kind)]))
+    return df.join(chosen.withColumnRenamed("__k", key), key, "left_semi")
 
 
 def coin(*parts: Column, seed: int | str = 42) -> Column:

@@ -15,6 +15,7 @@ from ..operators import annotations as A
 from ..operators import dedup, inference, media, prep, sampling
 from ..sources import readers, sinks
 from ..sources.scratch import scratch
+from ..streaming import windows
 from .fixtures import images, read, view
 from .registry import query
 
@@ -483,3 +484,45 @@ def encode_images(spark, sf_dir):
 def image_tiles(spark, sf_dir):
     """Tiles of a pyramid, cut from pictures."""
     return media.tiles(small_pictures(spark, sf_dir).withColumnRenamed("r_name", "name"), 8).drop("content")
+
+
+# Streams
+
+
+def event_shards(spark, sf_dir):
+    """The events as four files, which a stream reads two at a time, in a folder of their own."""
+    root = scratch(spark, "events")
+    read(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("value").cast("double").alias("value")).repartition(4, "event_id").write.parquet(root)
+    return root, spark.read.parquet(root).schema
+
+
+@query("SELECT user_id, count(*) AS n, round(coalesce(sum(value), 0), 4) AS total, round(max(value), 4) AS most FROM events GROUP BY 1")
+def stream_running(spark, sf_dir):
+    """Counts, sums and maxima by user, kept as state over the micro-batches of a stream."""
+    root, schema = event_shards(spark, sf_dir)
+    updates = windows.running(windows.read_stream(spark, root, schema, 2), "user_id", "value")
+    out = windows.latest(spark, updates, scratch(spark, "running"), scratch(spark, "running-checkpoint"), "user_id")
+    return out.withColumns({"total": F.round("total", 4), "most": F.round("most", 4)})
+
+
+@query("SELECT DISTINCT event_id, event_type FROM events")
+def stream_dedup(spark, sf_dir):
+    """Each event once, though the stream brings some twice, within a watermark."""
+    root, schema = event_shards(spark, sf_dir)
+    spark.read.parquet(root).where("event_id % 2 = 0").write.mode("append").parquet(root)
+    stream = windows.event_time(windows.read_stream(spark, root, schema, 2), late="3650 days")
+    path = scratch(spark, "once")
+    windows.run_available(windows.first_of_key(stream, ["event_id"]).select("event_id", "event_type"), path, scratch(spark, "once-checkpoint"))
+    return spark.read.parquet(path)
+
+
+@query("SELECT event_id, value FROM events")
+def stream_incremental(spark, sf_dir):
+    """A second run of a stream goes on where the first one ended."""
+    root, schema = event_shards(spark, sf_dir)
+    later = spark.read.parquet(root).where("event_id % 10 = 0")
+    path, first, checkpoint = scratch(spark, "out"), scratch(spark, "in"), scratch(spark, "out-checkpoint")
+    for rows in (spark.read.parquet(root).where("event_id % 10 <> 0"), later):
+        rows.write.mode("append").parquet(first)
+        windows.run_available(windows.read_stream(spark, first, schema).select("event_id", "value"), path, checkpoint)
+    return spark.read.parquet(path)

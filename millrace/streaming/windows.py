@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def event_time(df: DataFrame, column: str = "ts", late: str | None = None) -> DataFrame:
@@ -47,3 +51,35 @@ def run_batches(df: DataFrame, write, checkpoint: str) -> None:
     """``write(frame, number)`` for each micro-batch; a repeated number replaces what it wrote before."""
     query = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def running(df: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, n, total, most) of a stream: for each key that a micro-batch touches its count, sum and maximum since the beginning.
+
+    The state of a key is three numbers; batches come as Arrow data, and a null value counts as a row only.
+    """
+    kind = df.schema[by].dataType.simpleString()
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, total, most = state.get if state.exists else (0, 0.0, float("-inf"))
+        for frame in frames:
+            known = frame[value].dropna()
+            n, total = n + len(frame), total + float(known.sum())
+            most = max([most, float(known.max())]) if len(known) else most
+        state.update((n, total, most))
+        yield pd.DataFrame({by: [key[0]], "n": [n], "total": [total], "most": [most]})
+
+    made = df.select(by, F.col(value).cast("double").alias(value)).groupBy(by)
+    return made.applyInPandasWithState(step, f"`{by}` {kind}, n long, total double, most double", "n long, total double, most double", "update", GroupStateTimeout.NoTimeout)
+
+
+def latest(spark: SparkSession, df: DataFrame, path: str, checkpoint: str, key: str) -> DataFrame:
+    """Runs a stream of updates over what is there and gives the last row of each key. Each micro-batch is a folder of its own,
+    replaced if it is repeated."""
+
+    def write(frame: DataFrame, number: int) -> None:
+        frame.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(path)
+    return rows.groupBy(key).agg(F.max_by(F.struct(*(c for c in rows.columns if c not in (key, "batch"))), "batch").alias("r")).select(key, "r.*")

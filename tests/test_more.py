@@ -222,3 +222,20 @@ def test_class_lists_and_addresses(spark):
     df = spark.createDataFrame([(" a, b ,,c\n",), (None,)], "t string")
     assert [r[0] for r in df.select(T.class_list(F.col("t"))).collect()] == [["a", "b", "c"], []]
     assert spark.range(1).select(T.url_of("https://h/", "/a/", F.lit(None).cast("string"), "b/c")).first()[0] == "https://h/a/b/c"
+
+
+def test_operators_as_commands(spark, tmp_path, capsys):
+    from millrace import __main__ as command
+
+    spark.range(40).withColumn("t", F.concat(F.lit("t"), (F.col("id") % 4).cast("string"))).write.parquet(str(tmp_path / "in"))
+    frames = [spark.read.parquet(str(tmp_path / "in"))]
+    assert command.apply("sampling.random_rows", frames, ["key=id", "n=7"]).count() == 7
+    assert command.apply("dedup.equal_texts", frames, ["key=id", "text=upper(t)"]).count() == 4
+    assert "p" in command.apply("inference.with_provenance", frames, ["column=p", "model_id=m"]).columns
+    assert command.apply("diff.images", [frames[0], frames[0].limit(0)], ["key=id"]).where("side = 'a'").count() == 40
+    for name, given, flags in (("no.such", 1, []), ("sampling.take", 1, ["key=id"]), ("sampling.take", 1, ["x=1"]), ("diff.images", 1, [])):
+        with pytest.raises(SystemExit):
+            command.apply(name, frames[:given], flags)
+    assert command.main(["list", "--operators"]) == 0
+    shown = capsys.readouterr().out
+    assert "annotations.convert_boxes" in shown and "dedup.similarities" not in shown

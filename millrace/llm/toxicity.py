@@ -167,17 +167,28 @@ def choose(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, param
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, ...]:
-    """Newton's method; the ridge keeps separable data finite."""
+    """The greatest likelihood less a ridge, which keeps separable data finite. Newton's steps are halved until they gain, so
+    that they can't run away where the data are nearly separable."""
     w = np.zeros(x.shape[1])
     pull = np.full(x.shape[1], ridge)
     pull[0] = 1e-3
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+
+    def value(w: np.ndarray) -> float:
+        z = x @ w
+        return float(y @ z - np.logaddexp(0.0, z).sum() - 0.5 * pull @ (w * w))
+
+    now = value(w)
+    for _ in range(200):
+        p = 0.5 * (1.0 + np.tanh(0.5 * (x @ w)))
         gradient = x.T @ (y - p) - pull * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), gradient)
-        w = w + step
-        if np.abs(step).max() < 1e-9:
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(pull), gradient)
+        part = 1.0
+        while part > 1e-12 and value(w + part * step) < now + 1e-4 * part * float(gradient @ step):
+            part /= 2
+        if part <= 1e-12 or np.abs(part * step).max() < 1e-9:
             break
+        w = w + part * step
+        now = value(w)
     return tuple(float(v) for v in w)
 
 

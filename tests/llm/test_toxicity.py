@@ -235,3 +235,17 @@ def test_only_the_smallest_hashes_are_fitted(spark):
     assert few.count() == 500
     assert {r[0] for r in few.collect()} == {r[0] for r in df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(500).collect()}
     assert smallest_hashes(df, "doc_id", 20_000, 50_000).count() == 20_000
+
+
+def test_nearly_separable_data_have_a_finite_fit():
+    # many rows without any match, some with several: undamped steps run away here and call every text toxic
+    rng = np.random.default_rng(1)
+    clean, toxic = np.zeros((11_000, 3)), np.abs(rng.normal(size=(1_400, 3))) * [0.3, 0.2, 2] + [2.7, 1.5, 3]
+    clean[:5] = [1.2, 0.2, 1]
+    x = np.concatenate((np.concatenate((clean, toxic)), np.ones((12_400, 1))), axis=1)[:, [3, 0, 1, 2]]
+    y = np.concatenate((np.zeros(11_000), np.ones(1_400)))
+    w = np.array(T.fit_logistic(x, y))
+    p = 1 / (1 + np.exp(-x @ w))
+    assert np.abs(w).max() < 50
+    assert ((p >= 0.7) == (y == 1)).all()
+    assert np.abs(x.T @ (y - p) - np.array([1e-3, 0.1, 0.1, 0.1]) * w).max() < 1e-4

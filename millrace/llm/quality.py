@@ -149,7 +149,11 @@ def quality(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id"
 
 
 def keep_good(df: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """The documents that pass, with the columns of ``df``; works on any extra columns."""
+    """The documents that pass, with all columns of ``df``, whatever the names of extra ones.
+
+    A null or empty text has too few words and goes. Rows are judged alone, so repeated rows stay or go together, and an
+    empty table gives an empty one.
+    """
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

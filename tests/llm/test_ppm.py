@@ -10,6 +10,8 @@ from millrace.llm import ppm
 from millrace.llm.common import Table
 from millrace.llm.ppm import PpmModel, PpmParams, grams, score_documents
 
+from .helpers import nasty
+
 
 def levels_of(texts, order, least=1):
     key, _ = grams(texts, order)
@@ -125,3 +127,36 @@ def test_rare_groups_count_whatever_their_share(spark, order):
     train = [t for d, t in low.items() if zlib.crc32(str(d).encode()) % 7 != 2]
     assert len(train) < len(data) == len(got)
     assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({d: brute_score(train, t, order) for d, t in low.items()})
+
+
+def test_nasty_and_very_long_rows(spark):
+    df = nasty(spark).union(nasty(spark).limit(1).selectExpr("8888L AS doc_id", "repeat(concat('lorem ipsum ', uuid()), 9) AS text", *[f"'{c}' AS {c}" for c in nasty(spark).columns[2:]]))
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = score_documents(df, PpmParams(order=2, least=0.01, common_word=0.01)).collect()
+    name = lambda d: b"" if d is None else str(d).encode()
+    low = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode()
+    train = [low(t) for d, t in rows if zlib.crc32(name(d)) % 7 != 2]
+    # the long text is one phrase 8,000 times: its score is that of a few contexts, so a shorter brute force would do as well
+    wanted = {(d, t): brute_score(train, low(t), 2) for d, t in set(rows)}
+    assert len(got) == len(rows)
+    for (d, t), score in wanted.items():
+        assert any(r["doc_id"] == d and r["score"] == pytest.approx(score) for r in got), d
+    assert max(len(t or "") for _, t in rows) > 200_000
+
+
+def test_every_count_matters(spark):
+    """What the model gathers grows with the corpus: a phrase of two training texts lowers its cost by far."""
+    rng = random.Random(3)
+    plain = lambda: " ".join("".join(rng.choice("etaoinshr") for _ in range(5)) for _ in range(40))
+    rows = [(i, plain()) for i in range(400)]
+    phrase = "quixotic zephyrs jab my vow"
+    free = [d for d in range(400, 440) if zlib.crc32(str(d).encode()) % 7 != 2]
+    asked = next(d for d in range(9_000, 9_100) if zlib.crc32(str(d).encode()) % 7 == 2)
+    seen = rows + [(d, phrase) for d in free[:2]] + [(asked, phrase)]
+    new = rows + [(d, plain()) for d in free[:2]] + [(asked, phrase)]
+    cost = {}
+    for name, data in (("seen", seen), ("new", new)):
+        got = score_documents(spark.createDataFrame(data, "doc_id long, text string")).where(f"doc_id = {asked}").first()
+        cost[name] = got["score"]
+    assert cost["seen"] > cost["new"] + 15

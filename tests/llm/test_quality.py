@@ -29,10 +29,15 @@ def compressed_well(text):
     band = band_of(len(raw), rules.bands)
     if raw and not band.low <= len(raw) / size(raw) <= band.high:
         return False
-    chunks = [raw[i : i + rules.chunk_bytes] for i in range(0, len(raw) - rules.chunk_bytes + 1, rules.chunk_bytes)] if len(raw) > rules.chunk_bytes else []
-    inner = band_of(rules.chunk_bytes - 1, rules.bands)
-    bad = sum(not inner.low <= len(c) / size(c) <= inner.high for c in chunks)
-    return not chunks or bad <= rules.max_bad_chunks * len(chunks)
+    if len(raw) <= rules.chunk_bytes:
+        return True
+    bad, rest = 0, raw
+    while rest:  # the last chunk is as short as it is, and has the band of its length
+        chunk, rest = rest[: rules.chunk_bytes], rest[rules.chunk_bytes :]
+        inner = band_of(min(len(chunk), rules.chunk_bytes - 1), rules.bands)
+        if not inner.low <= len(chunk) / size(chunk) <= inner.high:
+            bad += len(chunk)
+    return bad <= rules.max_bad_chunks * len(raw)
 
 
 def check(rows, texts):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,13 +98,10 @@ def suffix_rates(rows: list[tuple[str, str, int]]) -> list[dict[str, tuple[float
     return tables
 
 
-def vector(url: str, host: str, path: str, tables, prior: float, own: int | None = None) -> list[float]:
-    """``own``: the URL's own label, left out of the rates while fitting."""
+def vector(url: str, host: str, path: str, tables, prior: float) -> list[float]:
     found = lexical(url, host, path)
     for held, key in zip(tables, suffixes(host, path), strict=True):
         a, b = held.get(key, (0.0, 0.0))
-        if own is not None:
-            a, b = a - own, b - 1
         found += [(a + 5 * prior) / (b + 5), math.log1p(b)]
     return found
 
@@ -177,13 +175,22 @@ class Trees:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+#: Parts of the labelled URLs, by hash: each part's suffix statistics for the fit come from the others.
+FOLDS = 5
+
+
 def learn(labelled: list[tuple[str, str, str, int]], params: GbtParams = GbtParams()):
-    """labelled: (url, host, path, 1 if blocked). Gives the trees, the suffix statistics and the share blocked."""
-    tables = suffix_rates([(h, p, y) for _, h, p, y in labelled])
+    """labelled: (url, host, path, 1 if blocked). Gives the trees, the suffix statistics and the share blocked.
+
+    A URL's own label must not show in its statistics: leaving out just that label would tell it, as the rate of its suffix
+    then falls where it is blocked. So the trees see statistics of whole other folds.
+    """
     y = np.array([r[3] for r in labelled], dtype=float)
     prior = float(y.mean()) if len(y) else 0.0
-    x = np.array([vector(u, h, p, tables, prior, int(v)) for u, h, p, v in labelled], dtype=float).reshape(len(labelled), len(FEATURES) + 6)
-    return Trees(params).fit(x, y), tables, prior
+    fold = [zlib.crc32(r[0].encode()) % FOLDS for r in labelled]
+    others = [suffix_rates([(h, p, v) for (_, h, p, v), k in zip(labelled, fold, strict=True) if k != own]) for own in range(FOLDS)]
+    x = np.array([vector(u, h, p, others[k], prior) for (u, h, p, _), k in zip(labelled, fold, strict=True)], dtype=float).reshape(len(labelled), len(FEATURES) + 6)
+    return Trees(params).fit(x, y), suffix_rates([(h, p, v) for _, h, p, v in labelled]), prior
 
 
 def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, params: GbtParams = GbtParams(), url: str = "url", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:

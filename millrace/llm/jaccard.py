@@ -58,6 +58,8 @@ class JoinParams:
     block_chars: int = 32 << 20
     #: Candidates (rows of a few numbers) up to this number are sent to every task, more are joined by a shuffle.
     broadcast_rows: int = 200_000
+    #: Such small tables are written by tasks of this many rows instead of one for each partition.
+    task_rows: int = 10_000
 
     @property
     def runs(self) -> int:
@@ -180,19 +182,25 @@ def runs_of(batches: Iterator[pa.RecordBatch], key: str, names: list[str]) -> It
         yield last, held
 
 
-def components(edges: DataFrame) -> DataFrame:
+def gathered(df: DataFrame, rows: int, params: JoinParams) -> DataFrame:
+    """A table of about so many small rows in few partitions if it is small: each file of a written table has its price."""
+    return df.coalesce(-(-rows // params.task_rows) or 1) if rows <= params.broadcast_rows else df
+
+
+def components(edges: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     """(a, root) for every end of ``edges`` (a, b): the least number that it is connected with.
 
     Labels go to neighbours and jump to their own label's label; rounds grow with the logarithm of a path's length.
     """
     both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
-    labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), "labels")
+    n = both.count()
+    labels = materialize(gathered(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), n, params), "labels")
     while True:
         near = both.join(labels.select(F.col("a").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
         step = labels.join(near, "a").select("a", F.least("root", "near").alias("root"), F.col("root").alias("was"))
         jump = step.select(F.col("a").alias("root"), F.col("root").alias("further"))
         step = step.join(jump, "root", "left").select("a", F.least("root", F.coalesce("further", "root")).alias("root"), "was")
-        step = materialize(step, "labels")
+        step = materialize(gathered(step, n, params), "labels")
         labels = step.select("a", "root")
         if step.where("root <> was").isEmpty():
             return labels
@@ -305,21 +313,29 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
     sketched = units.mapInArrow(lean(sketches), "unit long, sketch binary")
     plain = (F.lit(False).alias("split"), F.lit(False).alias("pivot"))
 
-    def compared(dealt: DataFrame, few: bool, whole: bool) -> DataFrame:
+    def compared(dealt: DataFrame, n: int, whole: bool) -> DataFrame:
+        few = n <= params.broadcast_rows
         ready = (F.broadcast(dealt) if few else dealt).join(sketched, "unit").repartition("deal").sortWithinPartitions("deal", "unit")
-        return materialize(ready.mapInArrow(lean(compare(whole)), "a long, b long, kind int"), "compared")
+        return materialize(gathered(ready.mapInArrow(lean(compare(whole)), "a long, b long, kind int"), n, params), "compared")
 
     rows = units.mapInArrow(lean(start), "unit long, node long")
     found = []
+    n_left = None
     for level in range(params.depth + 1):
-        rows = materialize(rows, "nodes")
-        sizes = materialize(buckets(rows), "buckets")
+        if n_left is None:
+            rows = materialize(rows, "nodes")
+            n_rows = rows.count()
+        else:
+            n_rows = params.picks_below * n_left
+            rows = materialize(gathered(rows, n_rows, params), "nodes")
+        sizes = materialize(gathered(buckets(rows), n_rows, params), "buckets")
         # buckets of the same sets count once
         kept = sizes.groupBy("n", "sign", "low").agg(F.min("node").alias("node"))
         kept = kept.select("node", "n", "low", blocks_of(F.col("n"), params).alias("blocks"))
         dealt = rows.join(kept, "node")
         if level == params.depth:
-            found.append(compared(block_pairs(dealt, params).select("unit", "deal", "node", *plain), False, True).where(F.col("kind") == LINK).select("a", "b"))
+            n_pairs = kept.agg(F.coalesce(F.sum(F.col("n") * F.ceil(F.col("n") / params.last_block)), F.lit(0))).first()[0]
+            found.append(compared(block_pairs(dealt, params).select("unit", "deal", "node", *plain), n_pairs, True).where(F.col("kind") == LINK).select("a", "b"))
             break
         totals = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("blocks") > 1).alias("split")).first()
         own = F.when(F.col("blocks") == 1, F.col("node")).otherwise(block_key(F.col("node"), own_block(F.col("unit"), F.col("blocks"))))
@@ -329,20 +345,21 @@ def candidate_edges(units: DataFrame, params: JoinParams) -> DataFrame:
             every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
             pivots = kept.where(split).select(F.col("low").alias("unit"), "node", every)
             dealt = dealt.union(pivots.select("unit", block_key(F.col("node"), F.col("block")), "node", F.lit(True), F.lit(True)))
-        edges = compared(dealt, totals["n"] <= params.broadcast_rows, False)
+        edges = compared(dealt, totals["n"], False)
         found.append(edges.where(F.col("kind") == LINK).select("a", "b"))
         left = edges.where(F.col("kind") == OPEN).select(F.col("a").alias("unit"), F.col("b").alias("node"))
         if totals["split"]:
             member = edges.where(F.col("kind").isin(WITH_PIVOT, REST)).select(F.col("a").alias("unit"), F.col("b").alias("node"), (F.col("kind") == REST).alias("rest"))
             rest = member.groupBy("node").agg(F.count_if("rest").alias("n_rest"))
             ended = kept.join(rest, "node").withColumn("done", F.col("n_rest") * F.col("blocks") <= params.rest_blocks * F.col("n"))
-            ended = materialize(ended.select("node", "low", "blocks", "done"), "ended")
+            ended = materialize(gathered(ended.select("node", "low", "blocks", "done"), totals["split"], params), "ended")
             member = member.join(ended, "node")
             # a bucket that is done: its pivot's group block by block, each with all of the rest
             block = F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own_block(F.col("unit"), F.col("blocks")))))
             last = member.where("done").select("unit", "node", block.alias("block"))
             last = last.select("unit", block_key(F.col("node"), F.col("block")).alias("deal"), "node", *plain)
-            found.append(compared(last, False, True).where(F.col("kind") == LINK).select("a", "b"))
+            # the rest is at most rest_blocks blocks of each bucket, in every block of it
+            found.append(compared(last, (1 + params.rest_blocks) * totals["n"], True).where(F.col("kind") == LINK).select("a", "b"))
             going = ended.where("not done")
             left = left.union(member.where("not done").select("unit", "node")).union(going.select(F.col("low").alias("unit"), "node"))
         n_left = left.count()
@@ -464,13 +481,15 @@ def classes(docs: DataFrame, params: JoinParams = JoinParams(), text: str = "tex
     units = materialize(grouped.withColumn("unit", F.monotonically_increasing_id()), "units")
     named = units.select("unit", "text_key", "first_doc", "chars")
     edges = candidate_edges(units.where("tokens is not null").select("unit", "tokens"), params)
-    groups = components(edges)
+    groups = components(edges, params)
     sizes = groups.join(named.select(F.col("unit").alias("a"), "chars"), "a").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
     sizes = sizes.select("root", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("n") / params.block, F.col("chars") / params.block_chars))).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
     wanted = groups.select(F.col("a").alias("unit"), "root").join(sizes, "root").join(named.drop("chars"), "unit").withColumn("own", own)
-    wanted = materialize(wanted.select("unit", "root", "blocks", "own", F.col("text_key").alias("key"), F.col("first_doc").alias("doc")), "wanted")
-    chosen = F.broadcast(wanted) if wanted.count() <= params.broadcast_rows else wanted
+    n_wanted = groups.count()
+    wanted = wanted.select("unit", "root", "blocks", "own", F.col("text_key").alias("key"), F.col("first_doc").alias("doc"))
+    wanted = materialize(gathered(wanted, n_wanted, params), "wanted")
+    chosen = F.broadcast(wanted) if n_wanted <= params.broadcast_rows else wanted
     texts = keyed.join(chosen, (keyed["text_key"] == F.col("key")) & keyed["doc_id"].eqNullSafe(F.col("doc")))
     other = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = (F.least("own", "other"), F.greatest("own", "other"))
@@ -481,7 +500,7 @@ def classes(docs: DataFrame, params: JoinParams = JoinParams(), text: str = "tex
     final = checked.where("final").select("unit", "root")
     apart = checked.where("not final and root <> unit").select(F.col("unit").alias("a"), F.col("root").alias("b"))
     if not apart.isEmpty():
-        final = final.union(components(apart).select(F.col("a").alias("unit"), "root"))
+        final = final.union(components(apart, params).select(F.col("a").alias("unit"), "root"))
     member = final.join(named.select("unit", "first_doc", "text_key"), "unit")
     one = F.struct(F.col("first_doc").isNull().alias("none"), "first_doc", "text_key")
     least = member.groupBy("root").agg(F.min("first_doc").alias("class_id"), F.min(one).alias("stays"))

@@ -98,7 +98,3 @@ def stratified(df: DataFrame, n: int, key: str, categories: str = "category", se
 def coin(*parts: Column, seed: int | str = 42) -> Column:
     """0 or 1 from a hash of the parts."""
     return (F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), *parts)), 1, 8), 16, 10).cast("long") % 2).cast("int")
-
-
-def allow_n(n: int | None, n_rows: int) -> int:
-    return n_rows if n is None else min(n, n_rows)

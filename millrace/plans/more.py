@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import base64
-
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -474,7 +472,7 @@ def encode_images(spark, sf_dir):
 
     def look(batches):
         for batch in batches:
-            batch["grey"] = [-1 if u is None else int(pictures.decode_png(base64.b64decode(u.partition(",")[2]))[0, 0, 0]) for u in batch["uri"]]
+            batch["grey"] = [-1 if u is None else int(pictures.decode_png(media.decode_data_uri(u))[0, 0, 0]) for u in batch["uri"]]
             yield batch[["r_regionkey", "r_name", "width", "height", "grey", "error"]].fillna({"width": -1, "height": -1})
 
     return made.mapInPandas(look, "r_regionkey long, r_name string, width int, height int, grey int, error string")

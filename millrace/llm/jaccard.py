@@ -187,20 +187,43 @@ def gathered(df: DataFrame, rows: int, params: JoinParams) -> DataFrame:
     return df.coalesce(-(-rows // params.task_rows) or 1) if rows <= params.broadcast_rows else df
 
 
+def connected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, root) of all ends of the links (a, b) of a task."""
+    held = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if not held:
+        return
+    ends = np.concatenate([x for x, _ in held] + [y for _, y in held])
+    names, place = np.unique(ends, return_inverse=True)
+    a, b = place[: len(place) // 2], place[len(place) // 2 :]
+    root = np.arange(len(names))
+    while True:
+        least = np.minimum(root[a], root[b])
+        was = root.copy()
+        np.minimum.at(root, was[a], least)
+        np.minimum.at(root, was[b], least)
+        root = root[root]
+        if (root == was).all():
+            break
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[root])], ["a", "root"])
+
+
 def components(edges: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     """(a, root) for every end of ``edges`` (a, b): the least number that it is connected with.
 
-    Labels go to neighbours and jump to their own label's label; rounds grow with the logarithm of a path's length.
+    Up to broadcast_rows links are joined up in one task. Of more, labels go to neighbours and jump to their own label's
+    label; rounds grow with the logarithm of a path's length.
     """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
-    n = both.count()
-    labels = materialize(gathered(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), n, params), "labels")
+    links = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    if links.count() <= params.broadcast_rows:
+        return materialize(links.coalesce(1).mapInArrow(lean(connected), "a long, root long"), "labels")
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), "labels")
     while True:
         near = both.join(labels.select(F.col("a").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
         step = labels.join(near, "a").select("a", F.least("root", "near").alias("root"), F.col("root").alias("was"))
         jump = step.select(F.col("a").alias("root"), F.col("root").alias("further"))
         step = step.join(jump, "root", "left").select("a", F.least("root", F.coalesce("further", "root")).alias("root"), "was")
-        step = materialize(gathered(step, n, params), "labels")
+        step = materialize(step, "labels")
         labels = step.select("a", "root")
         if step.where("root <> was").isEmpty():
             return labels

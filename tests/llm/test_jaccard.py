@@ -180,10 +180,22 @@ def test_groups_are_complete():
     assert reached.all() and len(set(root.tolist())) == 4
 
 
-def test_components_of_long_paths(spark):
-    edges = [(i, i + 1) for i in range(60)] + [(100, 101), (205, 203), (203, 201)]
-    got = {r["a"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+@pytest.mark.parametrize("rows", [0, 200_000])
+def test_components_of_long_paths(spark, rows):
+    params = JoinParams(broadcast_rows=rows)
+    rng = random.Random(rows)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 101), (205, 203), (203, 201), (7, 7), (101, 100)]
+    edges += [(rng.randrange(1_000, 1_400), rng.randrange(1_000, 1_400)) for _ in range(180)]
+    rng.shuffle(edges)
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(len(edges)):
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = {r["a"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), params).collect()}
+    assert got == root
     assert all(got[i] == 0 for i in range(61)) and got[101] == 100 and got[205] == 201
+    assert components(spark.createDataFrame([], "a long, b long"), params).collect() == []
 
 
 def test_runs_reach_the_recall():

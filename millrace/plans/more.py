@@ -52,7 +52,7 @@ def shard_list(spark, sf_dir):
     rows = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     for k in range(3):
         rows.where(F.col("n_nationkey") % 3 == k).write.json(f"{root}/part{k}")
-    return readers.load(spark, *readers.shards(spark, f"{root}/part*"), fmt="json").select("n_nationkey", "n_name")
+    return readers.load(spark, *readers.shards(spark, f"{root}/part*"), fmt="json").select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name")
 
 
 @query("SELECT r_name AS region FROM region")
@@ -238,7 +238,7 @@ def after_thinking(spark, sf_dir):
     return view(spark, sf_dir, "llm_text").select("doc_id", T.after_thinking(F.col("raw")).alias("text"))
 
 
-@query("SELECT doc_id, CAST(n_chars / 2 AS INTEGER) AS start, CAST(n_chars AS INTEGER) AS \"end\", left(coalesce(source, ''), 9) AS text, coalesce(lang, '') AS label, CASE WHEN doc_id % 2 = 0 THEN 0.5 ELSE 0 END AS score FROM documents WHERE n_chars % 2 = 0")
+@query("SELECT doc_id, CAST(n_chars / 2 AS INTEGER) AS start, CAST(n_chars AS INTEGER) AS \"end\", left(coalesce(source, ''), 9) AS text, coalesce(lang, '') AS label, CASE WHEN doc_id % 2 = 0 THEN CAST(0.5 AS DOUBLE) ELSE 0 END AS score FROM documents WHERE n_chars % 2 = 0")
 def entity_normalise(spark, sf_dir):
     """Entities of one shape; a missing score is 0."""
     one = F.struct((F.col("n_chars") / 2).alias("start"), F.col("n_chars").cast("string").alias("end"), F.left(F.coalesce("source", F.lit("")), F.lit(9)).alias("text"), F.coalesce("lang", F.lit("")).alias("label"), F.when(F.col("doc_id") % 2 == 0, "0.5").alias("score"))
@@ -252,7 +252,7 @@ def provenance_variants(spark, sf_dir):
     k = F.col("doc_id") % 5
     info = F.when(k == 1, "").when(k == 2, '[{"model_id":"m0"},{"model_id":"m1"}]').when(k == 3, ' {"model_id":"m9","image_size":"9x9"}').when(k == 4, "{bad")
     rows = read(spark, sf_dir, "documents").select("doc_id", T.provenance(info).alias("p"))
-    return rows.select("doc_id", F.size("p").cast("long").alias("n"), F.get("p", F.lit(0))["model_id"].alias("first_model"))
+    return rows.select("doc_id", F.size("p").alias("n"), F.get("p", F.lit(0))["model_id"].alias("first_model"))
 
 
 @query("SELECT unnest(['markdown', 'other']) AS column_name, unnest(['m (markdown)', 'm (other)']) AS model")
@@ -461,7 +461,7 @@ def small_pictures(spark, sf_dir):
             batch["content"] = [pictures.encode_png(np.full((8, 12, 3), (k * 10, k * 20, k * 30), np.uint8)) for k in batch["r_regionkey"]]
             yield batch
 
-    return read(spark, sf_dir, "region").select("r_regionkey", "r_name").mapInPandas(make, "r_regionkey long, r_name string, content binary")
+    return read(spark, sf_dir, "region").select("r_regionkey", "r_name").mapInPandas(make, "r_regionkey int, r_name string, content binary")
 
 
 @query("SELECT r_regionkey, r_name, 6 AS width, 4 AS height, CAST(floor((r_regionkey * (10 * 19595 + 20 * 38470 + 30 * 7471) + 32768) / 65536) AS INTEGER) AS grey, CAST(NULL AS VARCHAR) AS error FROM region WHERE r_regionkey > 0 UNION ALL SELECT r_regionkey, r_name, -1, -1, -1, 'ValueError: not a PNG' FROM region WHERE r_regionkey = 0")
@@ -475,7 +475,7 @@ def encode_images(spark, sf_dir):
             batch["grey"] = [-1 if u is None else int(pictures.decode_png(media.decode_data_uri(u))[0, 0, 0]) for u in batch["uri"]]
             yield batch[["r_regionkey", "r_name", "width", "height", "grey", "error"]].fillna({"width": -1, "height": -1})
 
-    return made.mapInPandas(look, "r_regionkey long, r_name string, width int, height int, grey int, error string")
+    return made.mapInPandas(look, "r_regionkey int, r_name string, width int, height int, grey int, error string")
 
 
 @query("SELECT r_name AS name, s.scale, s.x, s.y, s.w, s.h FROM region, (VALUES (1,0,0,8,8),(1,8,0,4,8),(2,0,0,12,8)) s(scale, x, y, w, h)")

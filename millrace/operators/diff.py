@@ -12,10 +12,14 @@ from ..functions import boxes as B
 from .annotations import exploded, flat
 
 
-def last_of_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Of rows with one key the last one; a null key is ''."""
-    packed = F.max_by(F.struct(*df.columns), F.col(order))
-    return df.groupBy(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__key")).agg(packed.alias("r")).select("r.*")
+def last_of_key(df: DataFrame, key: str, order: str, first: tuple[str, ...] = ()) -> DataFrame:
+    """Of rows with one key the last one, one without an order only if there is no other; a null key is ''.
+
+    Of rows equal in a number as order, the first by the columns ``first``, which aren't returned, is taken; without these any.
+    """
+    packed = F.struct(*(c for c in df.columns if c not in first))
+    row = F.min_by(packed, F.struct(F.col(order).isNull(), -F.col(order), *first)) if first else F.max_by(packed, F.struct(order))
+    return df.groupBy(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__key")).agg(row.alias("r")).select("r.*")
 
 
 def images(a: DataFrame, b: DataFrame, key: str = "image_id") -> DataFrame:
